@@ -52,7 +52,15 @@ def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     path = f"{shared_dir(spark)}/loomgraph-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Delete what ``materialize`` wrote for ``df``, once nothing reads it any more."""
+    if path := getattr(df, "_written_to", None):
+        discard(df.sparkSession, path)
 
 
 def discard(spark: SparkSession, path: str) -> None:
