@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from loomgraph.llm import queries_a, queries_b
+from loomgraph.llm import queries_a, queries_b, queries_c
 
-_PARTS = [queries_a, queries_b]
+_PARTS = [queries_a, queries_b, queries_c]
 QUERIES = {k: f for m in _PARTS for k, f in m.QUERIES.items()}
 SQL = {k: s for m in _PARTS for k, s in m.SQL.items()}
