@@ -44,8 +44,11 @@ _PAGE_RE = re.compile(_PAGE)
 _AFFIX_RE = re.compile(_AFFIX)
 
 
+_TABLE = str.maketrans(_STROKES)
+
+
 def skeleton_of(text: str) -> str:
-    return "".join(_STROKES.get(c, c) for c in text.lower())
+    return text.lower().translate(_TABLE)
 
 
 def skeleton(c: Column) -> Column:
@@ -55,10 +58,6 @@ def skeleton(c: Column) -> Column:
     return c
 
 
-def _core(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.regexp_replace(line, _AFFIX, ""), r"(?U)\s+", " "))
-
-
 def _base(chunks: DataFrame) -> DataFrame:
     doc = F.coalesce("doc_id", "filename")
     return chunks.filter("text is not null and chunk_id is not null").select(doc.alias("doc"), "filename", "chunk_id", "page_num", "section_heading", "text").filter("doc is not null")
@@ -69,26 +68,45 @@ def scanned_files(chunks: DataFrame) -> DataFrame:
     t = F.col("text")
     per = _base(chunks).select(
         "doc", "filename",
-        t.rlike(r"[^\n]{%d}" % (LONG_LINE + 1)).cast("int").alias("long"),
-        F.regexp_count(t, F.lit(r"\S[ \t\r]*\n[ \t]*(?=\S)")).alias("breaks"),
-        F.regexp_count(t, F.lit(r"[\p{L}\p{N},\-­¬][ \t\r]*\n[ \t]*(?=\S)")).alias("wraps"),
+        t.rlike(r"(?:^|\n)[^\n]{%d}" % (LONG_LINE + 1)).cast("int").alias("long"),
+        F.regexp_count(t, F.lit(r"\n(?<=\S[ \t\r]{0,4}\n)[ \t]*+\S")).alias("breaks"),
+        F.regexp_count(t, F.lit(r"\n(?<=[\p{L}\p{N},\-­¬][ \t\r]{0,4}\n)[ \t]*+\S")).alias("wraps"),
     )
     stem = F.replace(F.regexp_replace(F.max("filename"), r"(?:-\d{4})?\.\w+$", ""), F.lit("-"), F.lit(" "))
     g = per.groupBy("doc").agg(F.avg("long").alias("long"), F.sum("breaks").alias("breaks"), F.sum("wraps").alias("wraps"), stem.alias("stem"))
     return g.filter((F.col("breaks") > 0) & (F.col("long") <= MAX_LONG_SHARE) & (F.col("wraps") >= F.col("breaks") * MIN_WRAP_SHARE)).select("doc", "stem")
 
 
+_TITLE_START, _TITLE_END, _LETTER = re.compile(r"[\s\d|]*[^a-z\s]"), re.compile(r"[.,;:%]\s*$"), re.compile(r"[^\W\d_]")
+
+
+def _title_lines(pages: DataFrame) -> DataFrame:
+    """(doc, stem, chunk_id, skel, edge) of lines that might be titles: no small letter in front, no stop at the end.
+
+    ``edge``: the line is the first or last of its page, or a page number is next to it.
+    """
+
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for doc, stem, chunk, text in zip(pdf["doc"], pdf["stem"], pdf["chunk_id"], pdf["text"], strict=True):
+            lines = text.split("\n")
+            for i, line in enumerate(lines):
+                if len(line) > 140 or not _TITLE_START.match(line) or _TITLE_END.search(line) or not _LETTER.search(line) or _PAGE_RE.match(line):
+                    continue
+                core = " ".join(_AFFIX_RE.sub("", line).split())
+                if 4 <= len(core) <= 120:
+                    edge = i == 0 or i == len(lines) - 1 or bool(_PAGE_RE.match(lines[i - 1])) or bool(_PAGE_RE.match(lines[i + 1]))
+                    out.append((doc, stem, chunk, skeleton_of(core), edge))
+        return pd.DataFrame(out, columns=["doc", "stem", "chunk_id", "skel", "edge"])
+
+    return map_rows(pages.select("doc", "stem", "chunk_id", "text"), fn, "doc string, stem string, chunk_id string, skel string, edge boolean")
+
+
 def _titles(pages: DataFrame, chunks: DataFrame) -> DataFrame:
     """(doc, skel) of running titles."""
-    lines = lines_of(F.col("text"))
-    near = F.transform(lines, lambda x, i: F.struct(x.alias("line"), F.get(lines, i - 1).alias("before"), F.get(lines, i + 1).alias("after")))
-    at = pages.select("doc", "stem", "chunk_id", F.explode(near).alias("x")).select("doc", "stem", "chunk_id", "x.*")
-    # a title begins with no small letter and ends without a stop
-    at = at.filter(F.col("line").rlike(r"^[\s\d|]*[^a-z\s]") & ~F.col("line").rlike(r"[.,;:%]\s*$") & F.col("line").rlike(r"\p{L}") & ~F.col("line").rlike(_PAGE))
-    edge = F.col("before").isNull() | F.col("after").isNull() | F.col("before").rlike(_PAGE) | F.col("after").rlike(_PAGE)
-    at = at.select("doc", "stem", "chunk_id", _core(F.col("line")).alias("core"), edge.alias("edge")).filter("length(core) between 4 and 120")
-    g = at.withColumn("skel", skeleton(F.col("core"))).groupBy("doc", "stem", "skel", "chunk_id").agg(F.max("edge").alias("edge"), F.min("core").alias("core"))
-    g = g.groupBy("doc", "stem", "skel").agg(F.count("*").alias("n"), F.max("edge").alias("edge"), F.min("core").alias("core"))
+    at = _title_lines(pages)
+    g = at.groupBy("doc", "stem", "skel", "chunk_id").agg(F.max("edge").alias("edge"))
+    g = materialize(g.groupBy("doc", "stem", "skel").agg(F.count("*").alias("n"), F.max("edge").alias("edge")), "titlelines")
     named = (F.length("stem") > 5) & F.col("skel").startswith(skeleton(F.col("stem")))
     sure = ((F.col("n") >= MIN_REPEATS) & F.col("edge")) | named
     heads = _base(chunks).select(skeleton(F.trim("section_heading")).alias("h")).filter("h <> ''").distinct()
