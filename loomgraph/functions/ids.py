@@ -8,6 +8,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def _c(c: Column | str) -> Column:
@@ -37,7 +38,7 @@ def slug_of(text: str | None) -> str:
     return re.sub(r"[^a-z0-9]+", "_", t).strip("_") or "unknown"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def slugify(s: pd.Series) -> pd.Series:
     """Compatibility decomposition, ASCII letters and digits, the rest as single underscores."""
     return s.map(slug_of)

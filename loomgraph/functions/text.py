@@ -8,6 +8,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 SENTENCE_GAP = r"(?<=[.!?])\s+"
 HEADING = r"(?md)^(#{1,6})\s+(.+)"
@@ -23,7 +24,7 @@ def squeeze(c: Column | str) -> Column:
 
 
 def sentences(c: Column | str) -> Column:
-    return F.filter(F.transform(F.split(F.trim(_c(c)), SENTENCE_GAP), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.trim(_c(c)), SENTENCE_GAP), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def paragraphs(c: Column | str) -> Column:
@@ -123,12 +124,12 @@ def json_block(text: str | None, fence_first: bool = False) -> str | None:
     return None
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def extract_json(s: pd.Series) -> pd.Series:
     return s.map(json_block)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def extract_json_fenced(s: pd.Series) -> pd.Series:
     return s.map(lambda t: json_block(t, fence_first=True))
 

@@ -1,6 +1,6 @@
 """Content items to chunks: sections, paragraphs with sentence overlap, tables whole, short neighbours merged.
 
-Everything is array expressions over one row a document; the merge folds over positions
+Everything is array expressions; the merge works on the stretches between a document's tables and folds over positions
 (``start``, ``end``) and builds each text once, so a document of many paragraphs costs no more than its length.
 """
 
@@ -53,12 +53,14 @@ def merge_short(chunks: DataFrame, least: int = MIN_CHUNK) -> DataFrame:
 
     A merged chunk keeps the page and heading of its first part. Tables end a run.
     """
+    # a table ends every run, so what lies between two tables is folded on its own
+    table = (F.col("content_type") == "table").cast("int")
+    sofar = F.sum(table).over(Window.partitionBy("doc_id").orderBy("seq", "part").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     part = F.struct("seq", "part", "page_num", "section_heading", "content_type", "text", "raw_table")
-    docs = chunks.groupBy("doc_id", "filename").agg(F.array_sort(F.collect_list(F.struct("seq", "part", F.monotonically_increasing_id().alias("tie"), part.alias("c")))).alias("cs"))
-    docs = docs.select("doc_id", "filename", F.transform("cs", lambda x: x["c"]).alias("cs"))
-    # a null element stands in front: element_at and slice of an empty run must not fail
+    docs = chunks.withColumn("stretch", sofar * 2 - table).groupBy("doc_id", "filename", "stretch").agg(F.sort_array(F.collect_list(part)).alias("cs"))
     sized = F.transform("cs", lambda c, i: F.struct((i + 1).alias("i"), F.coalesce(F.length(c["text"]), F.lit(0)).alias("n"), (c["content_type"] == "table").alias("table")))
-    runs = docs.select("doc_id", "filename", "cs", F.posexplode(_fold(sized, least)).alias("chunk_index", "r"))
+    runs = docs.select("doc_id", "filename", "stretch", "cs", F.posexplode(_fold(sized, least)).alias("i", "r"))
+    runs = runs.withColumn("chunk_index", F.row_number().over(Window.partitionBy("doc_id").orderBy("stretch", "i")) - 1)
     own = F.slice("cs", F.col("r.a"), F.col("r.b") - F.col("r.a") + 1)
     first = own[0]
     return runs.select(

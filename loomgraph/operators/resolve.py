@@ -15,13 +15,13 @@ MIN_SIMILARITY = 0.92
 def surfaces(entities: DataFrame) -> DataFrame:
     """(type, name, seen) of names and aliases; ``seen`` is the least ``seq`` of the type."""
     first = entities.filter("type is not null").groupBy("type").agg(F.min("seq").alias("seen"))
-    both = entities.select("type", F.trim("name").alias("name")).unionByName(entities.select("type", F.trim(F.explode("aliases")).alias("name")))
+    both = entities.select("type", F.trim("name").alias("name")).unionByName(entities.select("type", F.explode(F.transform("aliases", lambda x: F.trim(x))).alias("name")))
     return both.filter("name <> ''").distinct().join(first, "type")
 
 
 def alias_links(entities: DataFrame, forms: DataFrame) -> DataFrame:
     """(type, a, b): a name and its alias are one in every type that has both, whatever the row's own type."""
-    pairs = entities.select(F.trim("name").alias("x"), F.trim(F.explode("aliases")).alias("y")).filter("x <> '' and y <> '' and x <> y").distinct()
+    pairs = entities.select(F.trim("name").alias("x"), F.explode(F.transform("aliases", lambda x: F.trim(x))).alias("y")).filter("x <> '' and y <> '' and x <> y").distinct()
     l, r = forms.select("type", F.col("name").alias("x")), forms.select("type", F.col("name").alias("y"))
     return pairs.join(l, "x").join(r, ["type", "y"]).select("type", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
