@@ -15,11 +15,13 @@ def lines_of(c: Column) -> Column:
 
 
 def map_rows(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
-    """Arrow batches through ``fn``; a batch with nothing to do gives an empty frame of the right columns."""
+    """Arrow batches through ``fn``; a batch without rows to give gives none."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
-                yield fn(pdf)
+                out = fn(pdf)
+                if len(out):
+                    yield out
 
     return df.mapInPandas(run, schema)

@@ -170,7 +170,7 @@ def _gradients(net: BiLSTM, batch: list) -> tuple[dict[str, np.ndarray], float]:
     pl /= pl.sum(2, keepdims=True)
     hot = np.eye(len(LABELS), dtype="f4")[yl]
     total, m = mask.sum(), mask[:, :, None]
-    loss = -(m * (yk * np.log(pk + 1e-7) * 2 + (1 - yk) * np.log(1 - pk + 1e-7))).sum() / total - (m * hot * np.log(pl + 1e-7)).sum() / total
+    loss = -(m * (yk * np.log(pk + 1e-7) * 2 + (1 - yk) * np.log(1 - pk + 1e-7))).sum() / total - 0.5 * (m * hot * np.log(pl + 1e-7)).sum() / total
     dz = np.concatenate([(pk * (1 + yk) - 2 * yk) * m, (pl - hot) * m * 0.5], axis=2) / total
     g = {k: np.zeros_like(v) for k, v in p.items()}
     g["out"], g["ob"] = np.einsum("tbh,tbo->ho", h, dz), dz.sum((0, 1))

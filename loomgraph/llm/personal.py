@@ -236,6 +236,10 @@ def _onehot(patterns: list[str]) -> np.ndarray:
     return np.array([[[c == "-", c == "0", c == "+"] for c in p] for p in patterns], float)
 
 
+#: Votes of a labeller that nothing is known of yet (no, none, yes), off and on a span, and how many candidates they are worth.
+PRIOR_VOTES, PRIOR_WEIGHT = np.array([[0.08, 0.9, 0.02], [0.01, 0.49, 0.5]]), 20.0
+
+
 def estimate(patterns: list[str], counts: np.ndarray, rounds: int = 60) -> tuple[np.ndarray, np.ndarray]:
     """Posterior of each pattern, and each labeller's P(vote | class), by expectation-maximisation.
 
@@ -247,9 +251,9 @@ def estimate(patterns: list[str], counts: np.ndarray, rounds: int = 60) -> tuple
     like = np.full((x.shape[1], 2, 3), 1 / 3)
     for _ in range(rounds):
         for k, w in enumerate((1 - q, q)):
-            total = np.einsum("p,plv->lv", counts * w, x) + 0.5
+            total = np.einsum("p,plv->lv", counts * w, x) + PRIOR_WEIGHT * PRIOR_VOTES[k]
             like[:, k] = total / total.sum(1, keepdims=True)
-        prior = float(np.clip((counts * q).sum() / counts.sum(), 0.02, 0.98))
+        prior = float(np.clip(((counts * q).sum() + 1) / (counts.sum() + 2), 0.02, 0.98))
         ratio = np.log(like[:, 1] / like[:, 0])
         ratio[:, 2] = np.clip(ratio[:, 2], 0.7, 8)
         ratio[:, 0] = np.clip(ratio[:, 0], -8, -1.5)

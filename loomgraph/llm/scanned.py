@@ -39,6 +39,7 @@ _TOKEN = r"[\p{L}\p{N}]+(?:['’\-][\p{L}\p{N}]+)*"
 _AFFIX = r"^\s*\d+\s*\|\s*|\s+\|\s*\d+\s*$|\s{2,}\d+\s*$"
 _PAGE = r"(?i)^\s*(?:(?:page|p\.?|pg\.?)\s*\d+(?:\s*(?:of|/)\s*\d+)?|[-–—]\s*\d+\s*[-–—]|\[\s*\d+\s*\]|\(\s*\d+\s*\)|\d+\s*/\s*\d+|\d{1,4}|[ivxlc]{1,7})\s*$"
 _BREAK = re.compile(r"([^\W_]+(?:['’\-][^\W_]+)*)([-­¬])[ \t\r]*$")
+_SPREAD = re.compile(r"(?<![^\W_])[^\W\d_](?: [^\W\d_]){2,}(?![^\W_])")
 _FIRST = re.compile(r"[^\W_]+(?:['’\-][^\W_]+)*")
 _PAGE_RE = re.compile(_PAGE)
 _AFFIX_RE = re.compile(_AFFIX)
@@ -134,25 +135,26 @@ def _structure(pages: DataFrame) -> DataFrame:
             titles = set() if titles is None else set(titles)
             broken = None
             lines = text.split("\n")
+            spread = bool(_SPREAD.search(text))
             for i, line in enumerate(lines):
-                if not line.strip():
+                bare = line.strip()
+                if not bare:
                     continue
                 if len(line) < 24 and (m := _PAGE_RE.match(line)):
-                    number = line.strip()
                     edge = i == 0 or i == len(lines) - 1
-                    if not number.isdigit() or edge or pd.isna(page) or abs(int(number) - page) <= 1:
+                    if not bare.isdigit() or edge or pd.isna(page) or abs(int(bare) - page) <= 1:
                         out.append((chunk, i + 1, "pagenum", None, None, None, None))
                         continue
-                if len(line) < 140 and skeleton_of(" ".join(_AFFIX_RE.sub("", line).split())) in titles:
+                if len(line) < 140 and not "a" <= bare[0] <= "z" and skeleton_of(" ".join(_AFFIX_RE.sub("", line).split())) in titles:
                     out.append((chunk, i + 1, "header", None, None, None, None))
                     continue
                 if broken:
                     first = _FIRST.match(line.lstrip())
                     out.append((chunk, broken[0], "break", broken[1], first[0] if first else None, i + 1, broken[2]))
                     broken = None
-                if m := _BREAK.search(line):
+                if bare[-1] in "-\u00ad¬" and (m := _BREAK.search(line)):
                     broken = (i + 1, m[1], m[2])
-                for m in re.finditer(r"(?<![^\W_])[^\W\d_](?: [^\W\d_]){2,}(?![^\W_])", line):
+                for m in _SPREAD.finditer(line) if spread else ():
                     out.append((chunk, i + 1, "spread", m[0].replace(" ", ""), None, None, None))
             if broken:
                 out.append((chunk, broken[0], "break", broken[1], None, None, broken[2]))
@@ -196,6 +198,7 @@ def _plan(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
     toks = lines.select("chunk_id", (F.col("pos") + 1).alias("line_no"), toks.alias("toks"), F.col("line").rlike(r"[\p{L}\p{N}][-­¬]\s*$").alias("open_end"))
     toks = toks.select("chunk_id", "line_no", "open_end", F.size("toks").alias("size"), F.posexplode("toks").alias("i", "old"))
     hits = toks.withColumn("word", F.lower("old")).join(broadcast_if_small(misread, BROADCAST_ROWS), "word").filter(~(F.col("open_end") & (F.col("i") == F.col("size") - 1)))
+    hits = materialize(hits.select("chunk_id", "line_no", "i", "old", "fix"), "hits")  # or the joins below would be made before, on every word
     seconds = events.filter("kind = 'break' and next_no is not null").select("chunk_id", F.col("next_no").alias("line_no"), F.lit(0).alias("i"))
     hits = hits.join(seconds, ["chunk_id", "line_no", "i"], "left_anti")
     furniture = events.filter("kind in ('header', 'pagenum')")
