@@ -158,7 +158,6 @@ def actual_shares(mixture: DataFrame, targets: DataFrame) -> DataFrame:
     """(source, target_share, max_repeats, tokens, share, documents, most_repeats) of every named source."""
     per = mixture.groupBy("source").agg(F.sum("n_tokens").alias("tokens"), F.count_distinct("doc_id").alias("documents"), (F.max("pass") + 1).alias("most_repeats"))
     named = targets.filter("source is not null").groupBy("source").agg(F.max("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
-    total = per.agg(F.sum("tokens").alias("all"))
-    j = named.join(per, "source", "left").crossJoin(F.broadcast(total))  # one row
+    j = named.join(per, "source", "left").withColumn("all", F.sum("tokens").over(Window.partitionBy(F.lit(0))))  # a row a named source
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
     return j.select("source", "target_share", "max_repeats", zero("tokens"), F.coalesce(F.col("tokens") / F.col("all"), F.lit(0.0)).alias("share"), zero("documents"), zero("most_repeats"))
