@@ -19,8 +19,10 @@ from loomgraph.plans.graph_queries import entity_graph
 from loomgraph.session import table
 
 
-def _chunks(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "chunks").distinct()
+def _chunks(s: SparkSession, d: str, *columns: str) -> DataFrame:
+    """Chunks once each, of the columns asked for alone: a second delivery is the same in all of them."""
+    c = table(s, d, "chunks")
+    return (c.select("chunk_id", *columns) if columns else c).distinct()
 
 
 # ---- text -----------------------------------------------------------------------------------------
@@ -33,7 +35,7 @@ def paragraphs(s, d):
 
 
 def sections(s, d):
-    x = _chunks(s, d).filter("content_type = 'text' and text is not null").select("chunk_id", F.posexplode(T.sections("text")).alias("n", "s"))
+    x = _chunks(s, d, "content_type", "text").filter("content_type = 'text' and text is not null").select("chunk_id", F.posexplode(T.sections("text")).alias("n", "s"))
     return x.select("chunk_id", "n", "s.heading", F.length("s.body").alias("body_length"))
 
 
@@ -44,7 +46,7 @@ def overlap_prefix(s, d):
 
 
 def table_text(s, d):
-    return _chunks(s, d).filter("content_type = 'table'").select("chunk_id", T.table_markdown("raw_table").alias("markdown"))
+    return _chunks(s, d, "content_type", "raw_table").filter("content_type = 'table'").select("chunk_id", T.table_markdown("raw_table").alias("markdown"))
 
 
 def years(s, d):
@@ -57,7 +59,7 @@ def safe_names(s, d):
 
 
 def record_ids(s, d):
-    c = _chunks(s, d)
+    c = _chunks(s, d, "filename", "doc_id", "chunk_index")
     return c.select("chunk_id", I.file_id("filename").alias("file_id"), I.chunk_id("doc_id", "chunk_index").alias("made_id")).distinct()
 
 
@@ -67,7 +69,7 @@ def canonical_ids(s, d):
 
 
 def triple_ids(s, d):
-    t = table(s, d, "validated_triples").distinct()
+    t = table(s, d, "validated_triples").select("triple_id", "chunk_id", "subject", "predicate", "object").distinct()
     return t.filter("chunk_id is not null and subject is not null and predicate is not null and object is not null").select("triple_id", I.triple_id("chunk_id", "subject", "predicate", "object").alias("made_id"))
 
 
@@ -78,7 +80,7 @@ def parse_props(s, d):
 
 # ---- chunks ---------------------------------------------------------------------------------------
 def _items(s, d):
-    c = _chunks(s, d).filter("doc_id is not null")
+    c = _chunks(s, d, "chunk_index", "doc_id", "filename", "page_num", "content_type", "text", "raw_table").filter("doc_id is not null")
     return K.item_order(c.withColumn("pos", F.struct("chunk_index", "chunk_id")))
 
 
@@ -92,29 +94,31 @@ def item_chunks(s, d):
 
 
 def item_order(s, d):
-    return _items(s, d).select("chunk_id", "seq")
+    c = _chunks(s, d, "chunk_index", "doc_id", "page_num", "content_type").filter("doc_id is not null")
+    return K.item_order(c.withColumn("pos", F.struct("chunk_index", "chunk_id"))).select("chunk_id", "seq")
 
 
 def document_rollup(s, d):
-    return K.document_rollup(_chunks(s, d))
+    return K.document_rollup(_chunks(s, d, "doc_id", "page_num", "content_type"))
 
 
 def scanned_documents(s, d):
-    return K.scanned(_chunks(s, d).filter("content_type = 'text'"), 400)
+    return K.scanned(_chunks(s, d, "doc_id", "content_type", "text").filter("content_type = 'text'"), 400)
 
 
 def chunk_summary(s, d):
-    return K.summary(_chunks(s, d))
+    return K.summary(_chunks(s, d, "content_type", "section_heading"))
 
 
 # ---- cleaning of extractions ------------------------------------------------------------------------
 def name_reasons(s, d):
-    return table(s, d, "extractions").distinct().select("extraction_id", V.name_reason(F.col("name")).alias("reason"))
+    return table(s, d, "extractions").select("extraction_id", "name").distinct().select("extraction_id", V.name_reason(F.col("name")).alias("reason"))
 
 
 def _reasons(s, d):
-    c = [F.col(x) for x in ("subject", "subject_type", "predicate", "object", "object_type", "confidence")]
-    return table(s, d, "validated_triples").distinct().withColumn("reason", V.triple_reason(*c))
+    names = ("subject", "subject_type", "predicate", "object", "object_type", "confidence")
+    c = [F.col(x) for x in names]
+    return table(s, d, "validated_triples").select("triple_id", "chunk_id", *names).distinct().withColumn("reason", V.triple_reason(*c))
 
 
 def triple_reasons(s, d):
@@ -140,7 +144,7 @@ def _surface_map(s, d):
 
 
 def _checked(s, d):
-    return V.check(V.canonicalise(table(s, d, "validated_triples").distinct(), _surface_map(s, d)))
+    return V.check(V.canonicalise(table(s, d, "validated_triples").select("triple_id", "subject", "subject_type", "predicate", "object", "object_type", "confidence").distinct(), _surface_map(s, d)))
 
 
 def validated(s, d):
@@ -205,7 +209,7 @@ def incremental_skip(s, d):
 
 def _orphan_chunks(s, d):
     names = G.unconnected(entity_graph(s, d)).select("name").distinct()
-    return O.orphan_chunks(table(s, d, "extractions").distinct(), table(s, d, "validated_triples"), table(s, d, "chunks"), names)
+    return O.orphan_chunks(table(s, d, "extractions"), table(s, d, "validated_triples"), table(s, d, "chunks"), names)
 
 
 def orphan_chunks(s, d):
@@ -221,7 +225,7 @@ def usable_chunks(s, d):
 
 
 def accepted_triples(s, d):
-    return O.accepted(table(s, d, "validated_triples").distinct()).groupBy("predicate").agg(F.count("*").alias("cnt"))
+    return O.accepted(table(s, d, "validated_triples").select("triple_id", "subject", "subject_type", "predicate", "object", "object_type", "confidence").distinct()).groupBy("predicate").agg(F.count("*").alias("cnt"))
 
 
 def review_status(s, d):
