@@ -33,12 +33,12 @@ KINDS = ("email", "id_number", "phone", "address", "person")
 _AT = r"(?:@| ?[\[(](?:at|AT)[\])] ?)"
 _DOT = r"(?:\.| ?[\[(](?:dot|DOT)[\])] ?| (?:dot|DOT) )"
 _EMAIL = re.compile(rf"(?<![\w.+%-])[A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)*{_AT}[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)*")
-_NUMBER = re.compile(r"(?<![\w/.,#-])(?:\+ ?\d|\(\d|\d)[\d .()/-]{5,20}\d(?:(?: ext\.? ?| x| extn?\.? ?)\d{1,5})?(?![\w/]|[.,-]\d)")
+_NUMBER = re.compile(r"(?<![\w/.,#-])(?:\+ ?\d|\(\d|\d)(?:[\d ()/-]|\.(?=\d)){5,20}\d(?:(?: ext\.? ?| x| extn?\.? ?)\d{1,5})?(?![\w/]|[.,-]\d)")
 _ID = re.compile(r"(?<![\w/@.-])(?:[A-Za-z]{1,3}[ /-]?\d[\d /-]{4,}\d[A-Za-z]?|\d{3,4}-\d{3,4}-\d{2,4}|\d{6,9}[A-Za-z]?|\d{2,3}[ -]\d{2,3}[ -]\d{3,4})(?![\w/]|-\d)")
 _STREET = r"(?:[A-ZÀ-Þ][\w'’-]*[ ]){0,3}?(?:[A-ZÀ-Þ][\w'’-]*[ ])?(?:Street|St|Road|Rd|Avenue|Ave|Lane|Ln|Drive|Dr|Close|Row|View|Crescent|Cres|Court|Ct|Way|Walk|Terrace|Place|Pl|Square|Sq|Hill|Gate|Rise|Grove|Gardens|Park|Quay|Mews|Boulevard|Blvd|Link|Loop|Circle)\b\.?"
-_ONE_WORD = r"[A-ZÀ-Þ][a-zà-ÿ]+(?:gate|strasse|straße|gasse|weg|street|bank|side|way)\b"
+_ONE_WORD = r"[A-ZÀ-Þ][a-zà-ÿ]+(?:gate|strasse|straße|gasse|weg|street|bank|way)\b"
 _ADDRESS = re.compile(
-    rf"(?<![\w#/.,-])(?P<unit>(?:Flat|Unit|Apt\.?|Apartment|Blk|Block|House|Suite|Room|Level|Floor)\s+\w{{1,6}}(?:[-/]\w+)?,?\s+)?(?P<house>(?:[A-ZÀ-Þ][\w'’-]*\s){{1,2}}(?:House|Court|Building|Tower|Mansions),\s+)?(?P<no>\d{{1,4}}[A-Za-z]?(?:-\d{{1,4}})?,?\s+)?(?P<street>{_STREET}|{_ONE_WORD})"
+    rf"(?<![\w#/.,-])(?P<unit>(?:Flat|Unit|Apt\.?|Apartment|Blk|Block|House|Suite|Room|Level|Floor)\s+\w{{1,6}}(?:[-/]\w+)?,?\s+)?(?P<house>(?:[A-ZÀ-Þ][\w'’-]*\s){{1,2}}(?:House|Court|Building|Tower|Mansions),\s+)?(?P<no>\d{{1,4}}[A-Za-z]?(?:-\d{{1,4}})?,? +)?(?P<street>{_STREET}|{_ONE_WORD})"
 )
 _W = r"[A-ZÀ-Þ][^\W\d_]*(?:['’-][^\W\d_]+)*"
 _UP = r"[A-ZÀ-Þ]{2,}(?:['’-][A-ZÀ-Þ]+)*"
@@ -160,7 +160,7 @@ def _addresses(t: str) -> Iterator[tuple[int, int, str]]:
 
 def _persons(t: str, given: frozenset[str]) -> Iterator[tuple[int, int, str]]:
     low = {g.lower() for g in given}
-    at, last = 0, -1
+    at = 0
     while m := _NAME.search(t, at):
         s, e = m.span("name")
         title = bool(m["title"])
@@ -175,16 +175,26 @@ def _persons(t: str, given: frozenset[str]) -> Iterator[tuple[int, int, str]]:
             # a sentence word may stand before the name: go on behind the first word
             at = s + len(re.match(r"\S+", m["name"])[0])
             continue
+        after = bool(_PERSON_AFTER.search(post))
+        # capitals among capitals say nothing
+        around = (re.search(r"([^\W\d_]{2,})\W*$", pre), re.match(r"\W*([^\W\d_]{2,})", post)) if m["name"].isupper() else (None, None)
+        shout = bool(around[1] and around[1][1].isupper() and (around[0] is None or around[0][1].isupper()))
+        if m["full"] and not (title or before or after) and re.match(rf" {_W}", post):
+            # a place may stand before the name: the run is read again from its second word
+            at = s + len(re.match(r"\S+", m["name"])[0])
+            if words[0].lower() not in low:
+                yield s, s + len(words[0]), "000000"
+                continue
         votes = (
             1 if title else 0,
             1 if before else 0,
-            1 if _PERSON_AFTER.search(post) else 0,
+            1 if after else 0,
             1 if any(w.lower() in low for w in words) else 0,
             1 if m["rev"] or re.match(r"[A-ZÀ-Þ]\.", m["name"]) or re.search(r" [A-ZÀ-Þ]\. ", m["name"]) else 0,
-            -1 if bad else 0,
+            -1 if bad or shout else 0,
         )
         yield s, e, _code(votes)
-        at, last = m.end(), m.end()
+        at = max(at, m.end()) if "+" in _code(votes) or not re.match(rf" {_W}", post) else at
     for m in _LABELLED.finditer(t):
         s, e = m.span("name")
         if t[s].islower():
