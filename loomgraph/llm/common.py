@@ -25,3 +25,14 @@ def map_rows(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema:
                     yield out
 
     return df.mapInPandas(run, schema)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores if its scan has fewer parts than there are cores (a table of one small file).
+
+    A large table has more parts than that and is left as it is; so is whatever has been shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
+    return df.repartition(cores) if df._jdf.toJavaRDD().getNumPartitions() < cores else df

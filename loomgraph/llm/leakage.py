@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.llm.common import map_rows
+from loomgraph.llm.common import map_rows, spread
 
 MIN_WORDS = 12
 #: Words of one block of items; an automaton has at most twice as many states.
@@ -126,6 +126,7 @@ def item_blocks(items: DataFrame, key: str, text: str, block_words: int = BLOCK_
 def _per_block(docs: DataFrame, items: DataFrame, item: str, item_text: str, k: int, fn, schema: str) -> DataFrame:
     sc = docs.sparkSession.sparkContext
     out = None
+    docs = spread(docs)
     for keys, held in item_blocks(items, item, item_text):
         shared = sc.broadcast((keys, SuffixAutomaton(held, k)))
         part = map_rows(docs, lambda pdf, shared=shared: fn(pdf, *shared.value), schema)

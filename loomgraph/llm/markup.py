@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.llm.common import map_rows
+from loomgraph.llm.common import map_rows, spread
 
 KINDS = ("html", "markdown", "wiki", "latex")
 LABELS = ("text", "heading", "list", "table", "code", "formula", "quote", "rule")
@@ -320,7 +320,7 @@ def found(docs: DataFrame, doc: str = "chunk_id", text: str = "text") -> DataFra
                 rows += [(d, k) for k in KINDS if k in named and k in grammar(t)]
         return pd.DataFrame(rows, columns=["doc", "kind"])
 
-    return map_rows(_signed(docs, doc, text), fn, "doc string, kind string").distinct()
+    return map_rows(spread(_signed(docs, doc, text)), fn, "doc string, kind string").distinct()
 
 
 def blocks(docs: DataFrame, doc: str = "chunk_id", text: str = "text") -> DataFrame:

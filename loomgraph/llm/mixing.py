@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from loomgraph.llm.common import map_rows
+from loomgraph.llm.common import map_rows, spread
 from loomgraph.session import materialize
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
@@ -59,7 +59,7 @@ def token_counts(docs: DataFrame, doc: str = "doc_id", source: str = "source", t
         return pd.DataFrame({"doc_id": pdf["doc_id"], "source": pdf["source"], "n_tokens": n})
 
     d = docs.select(F.col(doc).alias("doc_id"), F.col(source).alias("source"), F.col(text).alias("t")).filter("doc_id is not null and source is not null and t is not null")
-    return map_rows(d, fn, f"doc_id {kind}, source string, n_tokens bigint").groupBy("doc_id", "source").agg(F.max("n_tokens").alias("n_tokens"))
+    return map_rows(spread(d), fn, f"doc_id {kind}, source string, n_tokens bigint").groupBy("doc_id", "source").agg(F.max("n_tokens").alias("n_tokens"))
 
 
 def plan(totals: dict[str, int], shares: dict[str, float], caps: dict[str, int], total_tokens: int | None = None) -> dict[str, int]:

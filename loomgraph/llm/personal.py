@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.llm.common import map_rows
+from loomgraph.llm.common import map_rows, spread
 from loomgraph.session import materialize
 
 KINDS = ("email", "id_number", "phone", "address", "person")
@@ -238,7 +238,7 @@ def candidates(docs: DataFrame, doc: str = "doc_id", text: str = "text", given:
         rows = [(d, *c) for d, t in zip(pdf["doc"], pdf["t"], strict=True) if t for c in candidates_of(t, given)]
         return pd.DataFrame(rows, columns=["doc", "kind", "start", "end", "votes"])
 
-    return map_rows(docs.select(F.col(doc).alias("doc"), F.col(text).alias("t")), fn, f"doc {kind}, kind string, start int, end int, votes string")
+    return map_rows(spread(docs.select(F.col(doc).alias("doc"), F.col(text).alias("t"))), fn, f"doc {kind}, kind string, start int, end int, votes string")
 
 
 # ---- reliabilities and classifier -------------------------------------------------------------
