@@ -60,6 +60,15 @@ class LineState:
             spark.createDataFrame([], "source string, doc string"),
         )
 
+    def save(self, path: str) -> None:
+        """Each call needs a new folder: a table cannot be overwritten while it is read."""
+        for name in ("lines", "sources", "occurrences", "docs"):
+            getattr(self, name).write.parquet(f"{path}/{name}")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> LineState:
+        return LineState(*(spark.read.parquet(f"{path}/{n}") for n in ("lines", "sources", "occurrences", "docs")))
+
     def excessive(self, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE) -> DataFrame:
         total = self.sources.select("source", F.col("n").alias("total"))
         return self.lines.filter(F.col("n") >= min_docs).join(total, "source").filter(F.col("n") >= F.col("total") * min_share).select(*LINE)

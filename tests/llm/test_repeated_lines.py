@@ -53,9 +53,11 @@ def test_against_brute_force(spark):
     assert {r.doc for r in rebuild.collect()} == {d for d, _ in want}
 
 
-def test_batches_equal_one_and_name_what_changed(spark):
+def test_batches_equal_one_and_name_what_changed(spark, tmp_path):
     data = rows(2)
     first, _ = R.update(None, frame(spark, data[:45]))
+    first.save(str(tmp_path / "v1"))
+    first = R.LineState.load(spark, str(tmp_path / "v1"))
     before = found(first)
     second, rebuild = R.update(first, frame(spark, data[30:]))  # some are delivered again
     assert found(second) == brute(data)
