@@ -4,8 +4,8 @@
    breaks stand inside sentences.
 2. Running heads and page numbers are found at page edges: lines are compared by a skeleton in
    which characters that scanners confuse fall together (``rn``/``m``, ``cl``/``d``, ``e``/``c``,
-   ``1``/``l`` ...), so a misread title repeats as itself. A title repeats within its file with at
-   least one copy at a page edge, or carries the file's name or two of its section headings.
+   ``1``/``l`` ...), so a misread title repeats as itself. A title repeats within its file, at page
+   edges, or carries the file's name or two of its section headings.
 3. The corpus vocabulary (words of files that are not scanned, all of them counted) decides the
    rest: a word broken at a line's end is joined if the vocabulary knows it whole rather than with
    a hyphen; a word it does not know is misread if its skeleton is that of a word it knows.
@@ -29,7 +29,9 @@ from pyspark.sql import functions as F
 from loomgraph.llm.common import lines_of, map_rows
 from loomgraph.session import broadcast_if_small, materialize
 
-LONG_LINE, MAX_LONG_SHARE, MIN_WRAP_SHARE, MIN_REPEATS = 95, 0.2, 0.5, 2
+LONG_LINE, MAX_LONG_SHARE, MIN_WRAP_SHARE = 95, 0.2, 0.5
+#: A running title that neither file name nor headings explain stands on so many pages, and on so large a share of its file's.
+MIN_REPEATS, MIN_REPEAT_SHARE = 3, 0.05
 BROADCAST_ROWS = 300_000
 # what scanners confuse, each as strokes; one character first, then those that need two
 _ONE = ("eéèêëot1ıíìîï59háàâäãóòôö", "ccccc0lliiiiisgbaaaaa0000")
@@ -65,7 +67,7 @@ def _base(chunks: DataFrame) -> DataFrame:
 
 
 def scanned_files(chunks: DataFrame) -> DataFrame:
-    """(doc, stem): files whose lines are wrapped, with the words of the file name before its year."""
+    """(doc, stem, size): files whose lines are wrapped, with the words of the file name before its year and their number of pages."""
     t = F.col("text")
     per = _base(chunks).select(
         "doc", "filename",
@@ -74,22 +76,22 @@ def scanned_files(chunks: DataFrame) -> DataFrame:
         F.regexp_count(t, F.lit(r"\n(?<=[\p{L}\p{N},\-­¬][ \t\r]{0,4}\n)[ \t]*+\S")).alias("wraps"),
     )
     stem = F.replace(F.regexp_replace(F.max("filename"), r"(?:-\d{4})?\.\w+$", ""), F.lit("-"), F.lit(" "))
-    g = per.groupBy("doc").agg(F.avg("long").alias("long"), F.sum("breaks").alias("breaks"), F.sum("wraps").alias("wraps"), stem.alias("stem"))
-    return g.filter((F.col("breaks") > 0) & (F.col("long") <= MAX_LONG_SHARE) & (F.col("wraps") >= F.col("breaks") * MIN_WRAP_SHARE)).select("doc", "stem")
+    g = per.groupBy("doc").agg(F.avg("long").alias("long"), F.sum("breaks").alias("breaks"), F.sum("wraps").alias("wraps"), F.count("*").alias("size"), stem.alias("stem"))
+    return g.filter((F.col("breaks") > 0) & (F.col("long") <= MAX_LONG_SHARE) & (F.col("wraps") >= F.col("breaks") * MIN_WRAP_SHARE)).select("doc", "stem", "size")
 
 
 _TITLE_START, _TITLE_END, _LETTER = re.compile(r"[\s\d|]*[^a-z\s]"), re.compile(r"[.,;:%]\s*$"), re.compile(r"[^\W\d_]")
 
 
 def _title_lines(pages: DataFrame) -> DataFrame:
-    """(doc, stem, chunk_id, skel, edge) of lines that might be titles: no small letter in front, no stop at the end.
+    """(doc, stem, size, chunk_id, skel, edge) of lines that might be titles: no small letter in front, no stop at the end.
 
     ``edge``: the line is the first or last of its page, or a page number is next to it.
     """
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for doc, stem, chunk, text in zip(pdf["doc"], pdf["stem"], pdf["chunk_id"], pdf["text"], strict=True):
+        for doc, stem, size, chunk, text in zip(pdf["doc"], pdf["stem"], pdf["size"], pdf["chunk_id"], pdf["text"], strict=True):
             lines = text.split("\n")
             for i, line in enumerate(lines):
                 if len(line) > 140 or not _TITLE_START.match(line) or _TITLE_END.search(line) or not _LETTER.search(line) or _PAGE_RE.match(line):
@@ -97,19 +99,19 @@ def _title_lines(pages: DataFrame) -> DataFrame:
                 core = " ".join(_AFFIX_RE.sub("", line).split())
                 if 4 <= len(core) <= 120:
                     edge = i == 0 or i == len(lines) - 1 or bool(_PAGE_RE.match(lines[i - 1])) or bool(_PAGE_RE.match(lines[i + 1]))
-                    out.append((doc, stem, chunk, skeleton_of(core), edge))
-        return pd.DataFrame(out, columns=["doc", "stem", "chunk_id", "skel", "edge"])
+                    out.append((doc, stem, size, chunk, skeleton_of(core), edge))
+        return pd.DataFrame(out, columns=["doc", "stem", "size", "chunk_id", "skel", "edge"])
 
-    return map_rows(pages.select("doc", "stem", "chunk_id", "text"), fn, "doc string, stem string, chunk_id string, skel string, edge boolean")
+    return map_rows(pages.select("doc", "stem", "size", "chunk_id", "text"), fn, "doc string, stem string, size bigint, chunk_id string, skel string, edge boolean")
 
 
 def _titles(pages: DataFrame, chunks: DataFrame) -> DataFrame:
     """(doc, skel) of running titles."""
     at = _title_lines(pages)
-    g = at.groupBy("doc", "stem", "skel", "chunk_id").agg(F.max("edge").alias("edge"))
-    g = materialize(g.groupBy("doc", "stem", "skel").agg(F.count("*").alias("n"), F.max("edge").alias("edge")), "titlelines")
+    g = at.groupBy("doc", "stem", "size", "skel", "chunk_id").agg(F.max("edge").alias("edge"))
+    g = materialize(g.groupBy("doc", "stem", "size", "skel").agg(F.count("*").alias("n"), F.max("edge").alias("edge")), "titlelines")
     named = (F.length("stem") > 5) & F.col("skel").startswith(skeleton(F.col("stem")))
-    sure = ((F.col("n") >= MIN_REPEATS) & F.col("edge")) | named
+    sure = ((F.col("n") >= MIN_REPEATS) & (F.col("n") >= F.col("size") * MIN_REPEAT_SHARE) & F.col("edge")) | named
     heads = _base(chunks).select(skeleton(F.trim("section_heading")).alias("h")).filter("h <> ''").distinct()
     # a title that stands once: two section headings around "and"
     word = skeleton(F.lit(" and "))
@@ -168,7 +170,7 @@ def _plan(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
     files = materialize(scanned_files(chunks), "files")
     base = _base(chunks)
     few = broadcast_if_small(files, BROADCAST_ROWS)
-    pages = base.join(few, "doc").select("doc", "stem", "chunk_id", "page_num", "text").distinct()
+    pages = base.join(few, "doc").select("doc", "stem", "size", "chunk_id", "page_num", "text").distinct()
     titles = materialize(_titles(pages, chunks), "titles").groupBy("doc").agg(F.collect_set("skel").alias("titles"))
     pages = materialize(pages.join(titles, "doc", "left"), "pages")
     vocabulary = materialize(words(base.join(few, "doc", "left_anti").select("text")), "vocabulary")
