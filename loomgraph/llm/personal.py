@@ -31,6 +31,7 @@ KINDS = ("email", "id_number", "phone", "address", "person")
 
 # ---- shapes -----------------------------------------------------------------------------------
 _AT = r"(?:@| ?[\[(](?:at|AT)[\])] ?)"
+_AT_WORD = re.compile(r"[\[(](?:at|AT)[\])]")
 _DOT = r"(?:\.| ?[\[(](?:dot|DOT)[\])] ?| (?:dot|DOT) )"
 _EMAIL = re.compile(rf"(?<![\w.+%-])[A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)*{_AT}[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)*")
 _NUMBER = re.compile(r"(?<![\w/.,#-])(?:\+ ?\d|\(\d|\d)(?:[\d ()/-]|\.(?=\d)){5,20}\d(?:(?: ext\.? ?| x| extn?\.? ?)\d{1,5})?(?![\w/]|[.,-]\d)")
@@ -38,14 +39,15 @@ _ID = re.compile(r"(?<![\w/@.-])(?:[A-Za-z]{1,3}[ /-]?\d[\d /-]{4,}\d[A-Za-z]?|\
 _STREET = r"(?:[A-ZÀ-Þ][\w'’-]*[ ]){0,3}?(?:[A-ZÀ-Þ][\w'’-]*[ ])?(?:Street|St|Road|Rd|Avenue|Ave|Lane|Ln|Drive|Dr|Close|Row|View|Crescent|Cres|Court|Ct|Way|Walk|Terrace|Place|Pl|Square|Sq|Hill|Gate|Rise|Grove|Gardens|Park|Quay|Mews|Boulevard|Blvd|Link|Loop|Circle)\b\.?"
 _ONE_WORD = r"[A-ZÀ-Þ][a-zà-ÿ]+(?:gate|strasse|straße|gasse|weg|street|bank|way)\b"
 _ADDRESS = re.compile(
-    rf"(?<![\w#/.,-])(?P<unit>(?:Flat|Unit|Apt\.?|Apartment|Blk|Block|House|Suite|Room|Level|Floor)\s+\w{{1,6}}(?:[-/]\w+)?,?\s+)?(?P<house>(?:[A-ZÀ-Þ][\w'’-]*\s){{1,2}}(?:House|Court|Building|Tower|Mansions),\s+)?(?P<no>\d{{1,4}}[A-Za-z]?(?:-\d{{1,4}})?,? +)?(?P<street>{_STREET}|{_ONE_WORD})"
+    rf"(?<![\w#/.,-])(?=\d|(?:Flat|Unit|Apt|Apartment|Blk|Block|House|Suite|Room|Level|Floor)\b)(?P<unit>(?:Flat|Unit|Apt\.?|Apartment|Blk|Block|House|Suite|Room|Level|Floor)\s+\w{{1,6}}(?:[-/]\w+)?,?\s+)?(?P<house>(?:[A-ZÀ-Þ][\w'’-]*\s){{1,2}}(?:House|Court|Building|Tower|Mansions),\s+)?(?P<no>\d{{1,4}}[A-Za-z]?(?:-\d{{1,4}})?,? +)?(?P<street>{_STREET}|{_ONE_WORD})"
 )
 _W = r"[A-ZÀ-Þ][^\W\d_]*(?:['’-][^\W\d_]+)*"
 _UP = r"[A-ZÀ-Þ]{2,}(?:['’-][A-ZÀ-Þ]+)*"
 _TITLES = r"Mr|Mrs|Ms|Miss|Mx|Dr|Prof|Mdm|Madam|Sir|Sr|Sra|Herr|Frau|Mme|Mlle"
 _NAME = re.compile(
-    rf"(?<![\w@.'’/+-])(?:(?P<title>{_TITLES})\.? )?(?P<name>(?P<rev>{_UP}, (?!(?:{_TITLES})\b){_W}(?: [A-ZÀ-Þ]\.?(?![\w]))?)|(?P<full>(?!(?:{_TITLES})\b)(?:[A-ZÀ-Þ]\. ?|[A-ZÀ-Þ] |{_W} )(?:[A-ZÀ-Þ]\. ?)*{_W})|(?P<one>(?!(?:{_TITLES})\b)[A-ZÀ-Þ][^\W\d_]+(?:['’-][^\W\d_]+)*?(?=['’]s\b|\b)))(?![\w@])"
+    rf"(?<![\w@.'’/+-])(?:(?:(?P<title>{_TITLES})\.? )?(?P<name>(?P<rev>{_UP}, (?!(?:{_TITLES})\b){_W}(?: [A-ZÀ-Þ]\.?(?![\w]))?)|(?P<full>(?!(?:{_TITLES})\b)(?:[A-ZÀ-Þ]\. ?|[A-ZÀ-Þ] |{_W} )(?:[A-ZÀ-Þ]\. ?)*{_W}))|(?:{_TITLES})\.? (?P<one>(?!(?:{_TITLES})\b)[A-ZÀ-Þ][^\W\d_]+(?:['’-][^\W\d_]+)*?(?=['’]s\b|\b)))(?![\w@])"
 )
+_WORD1, _LETTERS, _NEXT, _INITIAL = re.compile(r"\S+"), re.compile(r"[^\W\d_]+"), re.compile(rf" {_W}"), re.compile(r"^[A-ZÀ-Þ]\.| [A-ZÀ-Þ]\. ")
 _LABELLED = re.compile(r"(?i)(?<!\w)(?:name|full name|nombre|nom)[ \t]*:[ \t]*(?P<name>[^\W\d_][^\W\d_'’.-]*,? (?:[^\W\d_]\.? )?[^\W\d_][^\W\d_'’-]*)")
 _SINGLE_CONTEXT = re.compile(r"['’]s (?:window|house|home|flat|garden|door|phone|car)")
 
@@ -79,6 +81,8 @@ def _before(text: str, at: int, n: int = 48) -> str:
 
 
 def _emails(t: str) -> Iterator[tuple[int, int, str]]:
+    if "@" not in t and not _AT_WORD.search(t):
+        return
     for m in _EMAIL.finditer(t):
         s, e = m.span()
         plain = "@" in m[0]
@@ -162,26 +166,23 @@ def _persons(t: str, given: frozenset[str]) -> Iterator[tuple[int, int, str]]:
     low = {g.lower() for g in given}
     at = 0
     while m := _NAME.search(t, at):
-        s, e = m.span("name")
-        title = bool(m["title"])
-        pre, post = _before(t, m.start()), t[e : e + 70]
-        words = re.findall(r"[^\W\d_]+", m["name"])
-        if m["one"] and not title:
-            at = m.end()
-            continue
-        bad = bool(_NOT_PERSON.search(m["name"]))
-        before = bool(_PERSON_BEFORE.search(pre)) or bool(_JOINED_BEFORE.search(_before(t, m.start(), 110)))
+        s, e = m.span("one" if m["one"] else "name")
+        name, title = t[s:e], bool(m["title"] or m["one"])
+        bad = bool(_NOT_PERSON.search(name))
         if bad and not title and not m["rev"]:
             # a sentence word may stand before the name: go on behind the first word
-            at = s + len(re.match(r"\S+", m["name"])[0])
+            at = s + len(_WORD1.match(name)[0])
             continue
+        pre, post = _before(t, m.start()), t[e : e + 70]
+        words = _LETTERS.findall(name)
+        before = bool(_PERSON_BEFORE.search(pre)) or bool(_JOINED_BEFORE.search(_before(t, m.start(), 110)))
         after = bool(_PERSON_AFTER.search(post))
         # capitals among capitals say nothing
-        around = (re.search(r"([^\W\d_]{2,})\W*$", pre), re.match(r"\W*([^\W\d_]{2,})", post)) if m["name"].isupper() else (None, None)
+        around = (re.search(r"([^\W\d_]{2,})\W*$", pre), re.match(r"\W*([^\W\d_]{2,})", post)) if name.isupper() else (None, None)
         shout = bool(around[1] and around[1][1].isupper() and (around[0] is None or around[0][1].isupper()))
-        if m["full"] and not (title or before or after) and re.match(rf" {_W}", post):
+        if m["full"] and not (title or before or after) and _NEXT.match(post):
             # a place may stand before the name: the run is read again from its second word
-            at = s + len(re.match(r"\S+", m["name"])[0])
+            at = s + len(_WORD1.match(name)[0])
             if words[0].lower() not in low:
                 yield s, s + len(words[0]), "000000"
                 continue
@@ -190,11 +191,11 @@ def _persons(t: str, given: frozenset[str]) -> Iterator[tuple[int, int, str]]:
             1 if before else 0,
             1 if after else 0,
             1 if any(w.lower() in low for w in words) else 0,
-            1 if m["rev"] or re.match(r"[A-ZÀ-Þ]\.", m["name"]) or re.search(r" [A-ZÀ-Þ]\. ", m["name"]) else 0,
+            1 if m["rev"] or _INITIAL.search(name) else 0,
             -1 if bad or shout else 0,
         )
         yield s, e, _code(votes)
-        at = max(at, m.end()) if "+" in _code(votes) or not re.match(rf" {_W}", post) else at
+        at = max(at, m.end()) if "+" in _code(votes) or not _NEXT.match(post) else at
     for m in _LABELLED.finditer(t):
         s, e = m.span("name")
         if t[s].islower():
@@ -207,9 +208,10 @@ def _code(votes: tuple[int, ...]) -> str:
 
 def candidates_of(t: str, given: frozenset[str] = GIVEN_NAMES) -> Iterator[tuple[str, int, int, str]]:
     """(kind, start, end, votes) from 0; of overlapping ones the sure shape hides names and numbers."""
-    mails = [(s, e) for s, e, v in _emails(t)]
+    found = list(_emails(t))
+    mails = [(s, e) for s, e, _ in found]
     inside = lambda s, e, spans: any(a < e and s < b for a, b in spans)
-    for s, e, v in _emails(t):
+    for s, e, v in found:
         yield "email", s, e, v
     labelled = []
     for s, e, v in _ids(t):
