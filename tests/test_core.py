@@ -250,7 +250,7 @@ def test_routing_and_guards():
     assert E.route("Which initiatives cross divisions?")[1] == "cross_division_initiatives" and E.route("metadata gaps")[0] == "filing-health" and E.route("hello")[0] == "general-explore"
     assert E.infer_limit("top 12 topics", 5) == 12 and E.infer_limit("in 2020", 5) == 5 and E.infer_limit("top 900", 5) == 5
     assert E.is_read_only("MATCH (n)-[:SET_TARGET]->() RETURN n") and not E.is_read_only("MATCH (n) SET n.x = 1") and not E.is_read_only("match (n) where n.x = 'delete' return n")
-    assert E.statement_of("<think>x</think>```cypher\nMATCH (n) RETURN n\n```") == "MATCH (n) RETURN n" and E.statement_of("Sure: MATCH (n) RETURN n") == "MATCH (n) RETURN n"
+    assert E.statement_of("<think>x</think>```text\nMATCH (n) RETURN n\n```") == "MATCH (n) RETURN n" and E.statement_of("Sure: MATCH (n) RETURN n") == "MATCH (n) RETURN n"
     assert E.search_term("what does Alpha do") == "Alpha"
 
 
