@@ -82,6 +82,15 @@ def summary(cmap: DataFrame) -> DataFrame:
 
 
 def known_entities(cmap: DataFrame) -> DataFrame:
-    """One text of all known entities, ``Name (Type)`` by line, for a prompt."""
-    one = cmap.groupBy("canonical_id").agg(F.min_by(F.struct("canonical_name", "type"), "surface").alias("e"))
-    return one.agg(F.array_join(F.array_sort(F.collect_list(F.concat("e.canonical_name", F.lit(" ("), "e.type", F.lit(")")))), "\n").alias("hint"))
+    """(canonical_id, entity): one row an entity of the map, ``Name (Type)``, the bare name without a type; in the order of ``entity``.
+
+    The first entry by surface that has a name speaks for an id; an id that never has a name gives no row.
+    """
+    first = F.struct("surface", "canonical_name", F.col("type").isNull(), "type")
+    one = cmap.filter("canonical_id is not null and canonical_name is not null").groupBy("canonical_id").agg(F.min_by(F.struct("canonical_name", "type"), first).alias("e"))
+    return one.select("canonical_id", F.concat("e.canonical_name", F.coalesce(F.concat(F.lit(" ("), "e.type", F.lit(")")), F.lit(""))).alias("entity")).orderBy("entity", "canonical_id")
+
+
+def hint(entities: DataFrame) -> DataFrame:
+    """One text of the rows of ``known_entities``, an entity a line, for a prompt; all of it in one row, so for as many as a prompt holds."""
+    return entities.agg(F.array_join(F.array_sort(F.collect_list("entity")), "\n").alias("hint"))

@@ -197,7 +197,8 @@ def resolution_summary(s, d):
 
 
 def known_entities(s, d):
-    return R.known_entities(_surface_map(s, d).filter("canonical_id is not null and canonical_name is not null and type = 'Regulation'"))
+    """Every canonical id of the map, also one whose surfaces all went to earlier ids."""
+    return R.known_entities(table(s, d, "canonical_map"))
 
 
 # ---- incremental and repair -------------------------------------------------------------------------

@@ -17,6 +17,7 @@ from loomgraph.operators import resolve as R
 from loomgraph.operators import review as RV
 from loomgraph.operators import validate as V
 from loomgraph.plans import pack
+from loomgraph.plans import pipeline_queries as Q
 from loomgraph.sources import files as S
 from loomgraph.sources.store import GraphStore
 from loomgraph.streaming.incremental import process_new, windowed_counts
@@ -272,6 +273,14 @@ def test_orphans(spark):
     assert (r.orphans, r.without_triples, r.with_triples) == (2, 1, 1) and O.usable(o).count() == 1
 
 
+def test_known_entities_of_all_types(spark, tmp_path):
+    rows = [(1, "a", "r1", "Act", "Regulation"), (2, "b", "p1", "Bo", "Person"), (3, "a", "o1", "Cy", "Organisation"), (4, "d", "n1", "Di", None), (5, "e", "r1", "Later", "Regulation"), (6, "f", None, "No id", "Person"), (7, "g", "x1", None, "Person"), (2, "b", "p1", "Bo", "Person")]
+    spark.createDataFrame(rows, "map_id bigint, surface string, canonical_id string, canonical_name string, type string").write.parquet(f"{tmp_path}/canonical_map.parquet")
+    got = Q.QUERIES["known_entities"](spark, str(tmp_path))
+    assert [tuple(r) for r in got.collect()] == [("r1", "Act (Regulation)"), ("p1", "Bo (Person)"), ("o1", "Cy (Organisation)"), ("n1", "Di")]
+    assert R.hint(got).first().hint == "Act (Regulation)\nBo (Person)\nCy (Organisation)\nDi" and R.hint(got.limit(0)).first().hint == ""
+
+
 # ---- sources and streaming -------------------------------------------------------------------------
 def test_json_lines(spark, tmp_path):
     (tmp_path / "a.jsonl").write_text('{"chunk_id": "1", "text": "a"}\n\n{bad\n{"text": "no key"}\n')
