@@ -222,7 +222,7 @@ def orphan_report(s, d):
 
 
 def usable_chunks(s, d):
-    return O.usable(_orphan_chunks(s, d), 20).select("chunk_id", F.length("text").alias("n_chars"))
+    return O.usable(_orphan_chunks(s, d)).select("chunk_id", F.length("text").alias("n_chars"))
 
 
 def accepted_triples(s, d):

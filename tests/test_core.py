@@ -281,6 +281,13 @@ def test_known_entities_of_all_types(spark, tmp_path):
     assert R.hint(got).first().hint == "Act (Regulation)\nBo (Person)\nCy (Organisation)\nDi" and R.hint(got.limit(0)).first().hint == ""
 
 
+def test_usable_chunks_are_not_capped(spark, monkeypatch):
+    found = spark.range(25).select(F.col("id").cast("string").alias("chunk_id"), F.when(F.col("id") == 7, F.lit("x" * 50)).otherwise(F.lit("y" * 51)).alias("text"))
+    monkeypatch.setattr(Q, "_orphan_chunks", lambda s, d: found)
+    got = {r.chunk_id: r.n_chars for r in Q.QUERIES["usable_chunks"](spark, "").collect()}
+    assert got == {str(i): 51 for i in range(25) if i != 7}
+
+
 # ---- sources and streaming -------------------------------------------------------------------------
 def test_json_lines(spark, tmp_path):
     (tmp_path / "a.jsonl").write_text('{"chunk_id": "1", "text": "a"}\n\n{bad\n{"text": "no key"}\n')
