@@ -19,7 +19,8 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_clean(spark: SparkSession, d: str) -> DataFrame:
-    docs = _texts(spark, d).filter("filename is not null").select("filename", "chunk_id", "text")
+    """Every text chunk; those without filename, in which no line is found, as they were."""
+    docs = _texts(spark, d).select("filename", "chunk_id", "text")
     state, _ = repeated_lines.update(None, docs)
     return repeated_lines.without_lines(docs.distinct(), state.removable()).select("chunk_id", "text")
 

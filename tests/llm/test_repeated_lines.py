@@ -79,3 +79,13 @@ def test_empty_and_long(spark):
     assert found(state) == set() and rebuild.count() == 0
     state, _ = R.update(None, frame(spark, [("s", str(i), "word " * 100_000 + "\nshared line of text") for i in range(5)]))
     assert found(state) == {(str(i), n) for i in range(5) for n in (1, 2)}
+
+
+def test_clean_query_keeps_chunks_without_filename(spark, tmp_path):
+    from loomgraph.llm.queries_a import QUERIES
+
+    text = "body {}\nSubscribe to our bulletin"
+    rows = [("s", str(i), "text", text.format(i)) for i in range(6)] + [(None, "a", "text", text.format("a")), (None, "n", "text", None), ("s", "t", "table", "cells")]
+    spark.createDataFrame(rows, "filename string, chunk_id string, content_type string, text string").write.parquet(f"{tmp_path}/chunks.parquet")
+    out = {r.chunk_id: r.text for r in QUERIES["p1_clean"](spark, str(tmp_path)).collect()}
+    assert out == {str(i): f"body {i}" for i in range(6)} | {"a": text.format("a"), "n": None}
