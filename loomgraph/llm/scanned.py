@@ -12,8 +12,8 @@
 
 Vocabulary, misreadings and titles are tables; they are joined, by broadcast only behind a count.
 
-Defined results: rows without text, chunk id or document are ignored (``repair`` returns null
-and empty texts as they are); if no file is unscanned, the vocabulary is empty, nothing is called
+Defined results: rows without text, chunk id or document are ignored (``repair`` returns them,
+and all chunks of files that are not scanned, as they are); if no file is unscanned, the vocabulary is empty, nothing is called
 misread and every broken word is joined; a row delivered twice counts once; a text may be of
 any length. Columns other than those named are ignored.
 """
@@ -165,8 +165,8 @@ def _structure(pages: DataFrame) -> DataFrame:
     return map_rows(pages.select("chunk_id", "page_num", "text", "titles"), fn, "chunk_id string, line_no int, kind string, w1 string, w2 string, next_no int, mark string")
 
 
-def _plan(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pages of scanned files, and all events on them (chunk_id, line_no, kind, old, new)."""
+def _plan(chunks: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Scanned files, their pages, and all events on them (chunk_id, line_no, kind, old, new)."""
     files = materialize(scanned_files(chunks), "files")
     base = _base(chunks)
     few = broadcast_if_small(files, BROADCAST_ROWS)
@@ -208,12 +208,12 @@ def _plan(chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
     spread = events.filter("kind = 'spread'").withColumn("s_skel", skeleton(F.col("w1"))).join(j("s"), "s_skel", "left").filter("s_fix is not null or length(w1) >= 5")
     spread = spread.select("chunk_id", "line_no", F.lit("misread").alias("kind"), F.regexp_replace("w1", r"(?<=.)(?=.)", " ").alias("old"), F.coalesce("s_fix", "w1").alias("new"))
     gone = furniture.select("chunk_id", "line_no", "kind", F.lit(None).cast("string").alias("old"), F.lit(None).cast("string").alias("new"))
-    return pages, gone.unionByName(hyphen).unionByName(half1).unionByName(half2).unionByName(hits).unionByName(spread)
+    return files, pages, gone.unionByName(hyphen).unionByName(half1).unionByName(half2).unionByName(hits).unionByName(spread)
 
 
 def damage(chunks: DataFrame) -> DataFrame:
     """Distinct (chunk_id, line_no, kind); kind is header, pagenum, hyphen or misread."""
-    return _plan(chunks)[1].select("chunk_id", "line_no", "kind").distinct()
+    return _plan(chunks)[2].select("chunk_id", "line_no", "kind").distinct()
 
 
 def _like(old: str, new: str) -> str:
@@ -260,12 +260,15 @@ def _repaired(text: str, events: list) -> str:
 
 
 def repair(chunks: DataFrame) -> DataFrame:
-    """(chunk_id, text): pages of scanned files as continuous paragraphs."""
-    pages, events = _plan(chunks)
+    """(chunk_id, text) of all chunks: pages of scanned files as continuous paragraphs, all else as it was."""
+    files, pages, events = _plan(chunks)
     per = events.distinct().groupBy("chunk_id").agg(F.collect_list(F.struct("line_no", "kind", "old", "new")).alias("events"))
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         text = [t if not t else _repaired(t, [] if e is None else list(e)) for t, e in zip(pdf["text"], pdf["events"], strict=True)]
         return pd.DataFrame({"chunk_id": pdf["chunk_id"], "text": text})
 
-    return map_rows(pages.select("chunk_id", "text").join(per, "chunk_id", "left"), fn, "chunk_id string, text string")
+    repaired = map_rows(pages.select("chunk_id", "text").join(per, "chunk_id", "left"), fn, "chunk_id string, text string")
+    page = F.col("scanned") & F.col("text").isNotNull() & F.col("chunk_id").isNotNull()
+    rest = chunks.withColumn("doc", F.coalesce("doc_id", "filename")).join(broadcast_if_small(files.select("doc", F.lit(True).alias("scanned")), BROADCAST_ROWS), "doc", "left").filter(~F.coalesce(page, F.lit(False)))
+    return repaired.unionByName(rest.select("chunk_id", "text").distinct())

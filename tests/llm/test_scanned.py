@@ -73,3 +73,10 @@ def test_only_scanned_long_text(spark):
     rows = [page(i, ["Marsh Review 2012", *BODY * 300, "inter-", "esting end.", str(i)]) for i in range(1, 4)]
     got = found(spark, rows)
     assert {k for *_, k in got} == {"header", "hyphen", "pagenum"} and ("p1", 2 + len(BODY) * 300, "hyphen") in got
+
+
+def test_repair_keeps_all_else(spark):
+    rows = fixture()
+    out = [(r.chunk_id, r.text) for r in S.repair(spark.createDataFrame(rows, SCHEMA)).collect()]
+    assert len(out) == len({(r[0], r[5]) for r in rows})
+    assert {("n", None), ("e", ""), (None, "x")} <= set(out) and {(r[0], r[5]) for r in clean()} <= set(out)
