@@ -1,13 +1,14 @@
 """Markup residue: blocks labelled by a recurrent network, then written as clean text.
 
-A text is a sequence of leaves, its non-blank lines, each with a path (the tags, fences,
-environments and tables open around it) and a bag of hashed words and signs with their
-neighbourhood. A bidirectional LSTM in numpy reads the whole sequence, so every leaf is
-labelled with the context of its document: which markup it holds (HTML, Markdown, wiki, LaTeX)
-and what it is (paragraph, heading, list, table, code, formula, quote, rule). The network is
-trained by ``markup_train`` on texts that it writes itself; its weights are a file beside this
-one. What the network names is then checked against the grammar of that kind, after constructs
-of other kinds have been taken out.
+A text is a sequence of leaves, its non-blank lines (long ones in parts), each with a path (the
+tags, fences, environments and tables open around it) and a bag of hashed words and signs. A sign
+is read with what stands beside it, with the counterpart that closes it and with its place in the
+line. A bidirectional LSTM in numpy reads the whole sequence, so every leaf is labelled with the
+context of its document: which markup it holds (HTML, Markdown, wiki, LaTeX) and what it is
+(paragraph, heading, list, table, code, formula, quote, rule). The network is trained by
+``markup_train`` on texts that it writes itself; its weights are a file beside this one. A text
+holds the kinds that the network names on any of its leaves, and the clean text is written from
+the labels: nothing else decides.
 
 Before the network the JVM sets aside texts without any sign from which markup can be made;
 these hold none by definition.
@@ -19,6 +20,7 @@ Columns other than those named are ignored.
 
 from __future__ import annotations
 
+import html
 import re
 import zlib
 from functools import lru_cache
@@ -34,24 +36,28 @@ from loomgraph.llm.common import map_rows, spread
 KINDS = ("html", "markdown", "wiki", "latex")
 LABELS = ("text", "heading", "list", "table", "code", "formula", "quote", "rule")
 #: Words have the first buckets, signs the others, paths come last.
-WORD_BUCKETS, BUCKETS, PATH_BUCKETS = 512, 1536, 64
-#: Longer lines are several leaves of the same line number.
+WORD_BUCKETS, BUCKETS, PATH_BUCKETS = 512, 4096, 64
+#: Longer lines are several leaves of the same line number, parted where no sign is open.
 MAX_LEAF = 240
 #: A text without any of these holds no markup of the four kinds.
 SIGNS = r"[<>&*_`\[\]{}|\\$~]|''|(?:^|\n)[ \t]*[-+#=:;]"
-#: Low, since the grammar checks what the network names.
-THRESHOLD = 0.1
+#: Probability from which a leaf is taken to hold a kind.
+THRESHOLD = 0.5
 
 # ---- leaves -----------------------------------------------------------------------------------
-_TOKEN = re.compile(r"&#?\w{1,8};|</?[A-Za-z][\w-]*|<!--|-->|\\[A-Za-z]+\*?|\\.|([^\w\s])\1*|\w+")
+_TOKEN = re.compile(r"&#?\w{1,8};|</?[A-Za-z][\w-]*|<!--|-->|\\[A-Za-z]+\*?|\\.|([^\w\s]|_)\1*|[^\W_]+(?:_+[^\W_]+)*")
 _OPEN = re.compile(r"<(?P<end>/)?(?P<tag>[A-Za-z][\w-]*)[^<>]*?(?P<self>/)?>|\\(?P<be>begin|end)\{(?P<env>\w+\*?)\}|(?P<fence>^\s*(?:```|~~~))|(?P<wt>^\s*\{\|)|(?P<we>^\s*\|\})")
 _VOID = {"br", "hr", "img", "input", "meta", "link"}
+_TWINS = frozenset(["*", "**", "***", "_", "__", "~~", "`", "``", "$", "$$", "''", "'''", "'''''"])
+_CLOSES = {"]": "[", "]]": "[[", "}": "{", "}}": "{{"}
+_EXACT = frozenset("{}[]()|<>=\\$*_`'~#:")
+_SURE = frozenset("*_`$~|\\<>[]{}&#'=")
 
 
 @lru_cache(maxsize=200_000)
 def _bucket(token: str) -> int:
     h = zlib.crc32(token.encode())
-    return h % WORD_BUCKETS if token[0] == "w" else WORD_BUCKETS + h % (BUCKETS - WORD_BUCKETS)
+    return h % WORD_BUCKETS if token[:2] == "w:" else WORD_BUCKETS + h % (BUCKETS - WORD_BUCKETS)
 
 
 @lru_cache(maxsize=20_000)
@@ -60,55 +66,92 @@ def _path_bucket(path: str) -> int:
 
 
 def _class(c: str) -> str:
-    return "s" if not c or c.isspace() else "a" if c.isalpha() else "0" if c.isdigit() else "p"
+    return "s" if not c or c.isspace() else "a" if c.isalpha() else "0" if c.isdigit() else c if c in _EXACT else "p"
 
 
-def features(line: str, path: tuple[str, ...]) -> list[int]:
-    """Buckets of the words, of the signs with what stands beside them, and of the path."""
-    out = []
+def _content(s: str) -> str:
+    """What stands between a sign and its counterpart: formula, address, number, several fields, words."""
+    return "m" if re.search(r"[\\^_={}]", s) else "u" if "://" in s else "0" if re.fullmatch(r"[\d\s.,/%-]+", s) else "|" if "|" in s else "w" if len(s) > 1 else "1"
+
+
+def signs(line: str) -> list[tuple[int, int, str]]:
+    """(start, end, feature) of the words and signs of a line, and of signs with their counterparts."""
+    out: list[tuple[int, int, str]] = []
+    twins: dict[str, int] = {}
+    nested: list[tuple[str, int]] = []
     n = len(line)
-    first = True
+    first, pipes = True, 0
     for m in _TOKEN.finditer(line):
-        t = m[0]
+        t, (s, e) = m[0], m.span()
         c = t[0]
-        if c.isalnum() or c == "_" and len(t) > 1 and not t.strip("_"):
-            if c.isdigit():
-                out.append(_bucket("w:0"))
-            elif "_" in t:
-                out.append(_bucket(f"s:{_class(t[0])}_{_class(t[-1])}" if t[0] == "_" or t[-1] == "_" else "s:snake"))
-            else:
-                out.append(_bucket("w:" + t.lower()))
-        elif c == "_":
-            out.append(_bucket("s:_" + ("a" if len(t) > 1 else "s")))
-        else:
-            s, e = m.span()
-            left = "^" if first else _class(line[s - 1 : s])
-            right = "$" if e == n else _class(line[e : e + 1])
-            sign = t.lower() if len(t) < 3 or c in "<\\&" else c * 3
-            out.append(_bucket(f"s:{left}{sign}{right}"))
-            if c in "<\\&":
-                out.append(_bucket("t:" + sign.strip("</")))
-        first = False
-    out.append(_path_bucket("/".join(path)))
-    if path:
-        out.append(_path_bucket("top:" + path[-1]))
+        if c.isalnum():
+            out.append((s, e, "w:0" if c.isdigit() else "s:snake" if "_" in t else "w:" + t.lower()))
+            first = False
+            continue
+        left = "^" if first else _class(line[s - 1 : s])
+        right = "$" if e == n else _class(line[e : e + 1])
+        sign = t.lower() if len(t) < 3 or c in "<\\&" else c * 3
+        out.append((s, e, f"s:{left}{sign}{right}"))
+        if c in "<\\&" and len(t) > 1:
+            out.append((s, e, "t:" + sign.strip("</")))
+            if c == "<" and t != "<!--":
+                end = line.find(">", e)
+                out.append((s, e if end < 0 else end + 1, "tag:" + ("open" if end < 0 or "<" in line[e:end] else "shut")))
+            if c == "\\":
+                out.append((s, e, "cmd:" + left + ("a" if t[1].isalpha() else t[1]) + right))
+        if first:
+            rest = line[e:].strip()
+            follows = "n" if re.fullmatch(r"[-+]?\d[\d.,]*\s*[-–]*", rest) else _class(rest[:1])
+            out.append((s, e, f"lead:{sign}{right}{follows}"))
+            if not re.search(r"\w", line):
+                out.append((s, n, "only:" + "".join(sorted(set(line.strip())))[:8] + ("" if len(line.strip()) < 3 else "+")))
+            first = False
+        if c == "|":
+            pipes += len(t)
+        if t in _TWINS:
+            opens, shuts = right not in "s$" and (left not in "a0" or c in "`'"), left not in "s^" and (right not in "a0" or c in "`'")
+            if shuts and t in twins:
+                at = twins.pop(t)
+                out.append((at, e, f"pair:{t}:{_content(line[at + len(t) : s])}"))
+            elif opens:
+                twins[t] = s
+        elif c in "[{" and len(t) < 3:
+            nested.append((t, s))
+        elif t in _CLOSES or c in "]}" and len(t) == 3:
+            want = _CLOSES.get(t, _CLOSES[t[:2]] if len(t) == 3 else "")
+            while nested and nested[-1][0] != want:
+                nested.pop()
+            if nested:
+                at = nested.pop()[1]
+                out.append((at, e, f"pair:{want}:{_content(line[at + len(want) : s])}:{right if right in '({[' else ''}"))
+        if c in _SURE and e == n:
+            out.append((s, e, f"tail:{left}{sign}"))
+    if pipes:
+        out.append((line.find("|"), line.find("|") + 1, f"pipes:{min(pipes, 3)}"))
     return out
 
 
-def leaves(text: str) -> list[tuple[int, str, tuple[str, ...]]]:
-    """(line number from 1, line or part of it, path) of every line that is not blank."""
+def leaves(text: str) -> list[tuple[int, int, str, tuple[str, ...], list[int]]]:
+    """(line number from 1, start in the line, line or part of it, path, features) of every line that is not blank."""
     out, stack = [], []
     for i, raw in enumerate(text.split("\n")):
         line = raw.rstrip()
         if not line.strip():
             continue
         path = tuple(stack[-6:])
-        while len(line) > MAX_LEAF:
-            cut = max(line.rfind(". ", MAX_LEAF // 2, MAX_LEAF) + 1, line.rfind(" ", MAX_LEAF // 2, MAX_LEAF)) if " " in line[MAX_LEAF // 2 : MAX_LEAF] else MAX_LEAF
-            out.append((i + 1, line[:cut], path))
-            line = line[cut:]
-        out.append((i + 1, line, path))
-        line = raw
+        found = signs(line)
+        parts = _parts(line, found)
+        fixed = [_path_bucket("/".join(path)), *([_path_bucket("top:" + path[-1])] if path else [])]
+        k = 0
+        found.sort(key=lambda x: x[0])
+        for s, e in parts:
+            bag, words = set(), []
+            while k < len(found) and found[k][0] < e:
+                f = found[k][2]
+                (words.append if f[0] == "w" else bag.add)(_bucket(f))
+                k += 1
+            bag.add(_bucket(f"size:{(e - s) // 60 if e - s < 180 else 3}{'' if len(parts) == 1 else 'p'}"))
+            out.append((i + 1, s, line[s:e], path, [*words, *bag, *fixed]))
         if not ("<" in line or "\\" in line or "`" in line or "~" in line or "|" in line):
             continue
         for m in _OPEN.finditer(line):
@@ -137,6 +180,26 @@ def leaves(text: str) -> list[tuple[int, str, tuple[str, ...]]]:
     return out
 
 
+def _parts(line: str, found: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    """Parts of at most ``MAX_LEAF`` signs, parted behind a sentence, else at a blank, outside what a sign and its counterpart enclose."""
+    n = len(line)
+    if n <= MAX_LEAF:
+        return [(0, n)]
+    shut = sorted((s, e) for s, e, f in found if f[:4] in ("pair", "tag:") and e - s <= MAX_LEAF // 2)
+    out, start = [], 0
+    while n - start > MAX_LEAF:
+        low, high = start + MAX_LEAF // 2, start + MAX_LEAF
+        cut = line.rfind(". ", low, high) + 1 or line.rfind(" ", low, high)
+        if cut <= low:
+            cut = high
+        for s, e in shut:
+            if s < cut < e and s > start:
+                cut = s
+        out.append((start, cut))
+        start = cut
+    return [*out, (start, n)]
+
+
 def weigh(bags: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All buckets in a row, their weights, and the bags' sizes. A sign counts whole however long its
     leaf is; words share one weight."""
@@ -152,7 +215,10 @@ def weigh(bags: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 # ---- network ----------------------------------------------------------------------------------
 class BiLSTM:
-    """Embedding bag, one LSTM each way, kinds by sigmoid and label by softmax; plain numpy."""
+    """Embedding bag, one LSTM each way, kinds by sigmoid and label by softmax; plain numpy.
+
+    Embeddings start next to nothing, so a sign that training never met says nothing.
+    """
 
     def __init__(self, params: dict[str, np.ndarray]):
         self.p = params
@@ -161,7 +227,7 @@ class BiLSTM:
     def fresh(embed: int = 24, hidden: int = 20, seed: int = 0) -> BiLSTM:
         r = np.random.default_rng(seed)
         g = lambda *s: (r.normal(size=s) / np.sqrt(s[0])).astype("f4")
-        p = {"emb": (r.normal(size=(BUCKETS + PATH_BUCKETS, embed)) * 0.3).astype("f4"), "out": g(2 * hidden + embed, len(KINDS) + len(LABELS)), "ob": np.zeros(len(KINDS) + len(LABELS), "f4")}
+        p = {"emb": (r.normal(size=(BUCKETS + PATH_BUCKETS, embed)) * 0.01).astype("f4"), "out": g(2 * hidden + embed, len(KINDS) + len(LABELS)), "ob": np.zeros(len(KINDS) + len(LABELS), "f4")}
         for d in "fb":
             p |= {f"wx{d}": g(embed, 4 * hidden), f"wh{d}": g(hidden, 4 * hidden), f"b{d}": np.zeros(4 * hidden, "f4")}
             p[f"b{d}"][hidden : 2 * hidden] = 1
@@ -238,70 +304,10 @@ def model() -> BiLSTM:
     return _MODEL
 
 
-# ---- grammar of the four kinds ----------------------------------------------------------------
-_I = re.IGNORECASE | re.DOTALL
-_TAGS = "a|abbr|article|aside|b|big|blockquote|body|br|caption|center|cite|code|col|dd|del|details|div|dl|dt|em|figcaption|figure|font|footer|form|h[1-6]|head|header|hr|html|i|iframe|img|input|ins|kbd|label|li|link|main|mark|meta|nav|noscript|ol|option|p|pre|q|s|samp|script|section|select|small|span|strike|strong|style|sub|summary|sup|table|tbody|td|textarea|tfoot|th|thead|time|title|tr|tt|u|ul|var|video"
-_HTML = re.compile(rf"</?(?:{_TAGS})(?:\s[^<>]*)?/?>|<!--|-->|&(?:#\d{{1,6}}|#x[0-9a-f]{{1,6}}|[a-z]{{2,8}}\d?);|<!doctype\b", re.IGNORECASE)
-_FENCED = re.compile(r"^[ \t]*(```|~~~)[^\n]*\n.*?(?:^[ \t]*\1[ \t]*\r?$|\Z)", re.MULTILINE | re.DOTALL)
-_CODE = re.compile(r"(?<!`)(`{1,2})(?=[^\s`])[^`\n]*?[^\s`](?<!`)\1(?!`)|(?<!`)`[^\s`]`(?!`)")
-_PRE = re.compile(r"<pre\b.*?</pre\s*>|<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>", _I)
-_ANYTAG = re.compile(rf"</?(?:{_TAGS})(?:\s[^<>]*)?/?>|&(?:#\w+|\w{{2,8}});", re.IGNORECASE)
-_ENV = re.compile(r"\\begin\{(\w+\*?)\}.*?\\end\{\1\}|\\\[.*?\\\]|\\\(.*?\\\)|\$\$.+?\$\$", re.DOTALL)
-_MATH = re.compile(r"(?<![\w$\\])\$(?=[^\s$])(?:[^$\n]*[\\^_={}][^$\n]*|[A-Za-z])(?<=[^\s\\])\$(?![\w$])")
-_COMMAND = re.compile(
-    r"\\(?:begin|end|part|chapter|(?:sub)*section|(?:sub)?paragraph|text\w\w|emph|underline|item|cite\w?|ref|eqref|pageref|label|footnote|caption|includegraphics|href|url|usepackage|documentclass|title|author|maketitle|hline|toprule|midrule|bottomrule|frac|sum|int|sqrt|mathrm|mathbf|cdot|times|alpha|beta|gamma|delta|mu|sigma|leq|geq|noindent|centering|newline|ldots|quad)\*?(?![A-Za-z])|\\[%&#_{}](?=[\s\w).,;]|$)|~\\",
-)
-_TEMPLATE = re.compile(r"\{\{[^{}\n]*(?:\{\{[^{}]*\}\}[^{}]*)*\}\}|\{\|.*?\|\}", re.DOTALL)
-_WIKI = [
-    re.compile(r"\[\[[^\[\]\n]+\]\]|\{\{[^{}\n]+\}\}|(?<!')'{2,3}(?=[^'\s])[^'\n]*(?:'[^'\n]+)*'{2,3}(?!')|\[(?:https?|ftp)://[^\s\]]+[ \t]+[^\]\n]+\]|\[(?:https?|ftp)://[^\s\]]+\]|<ref\b|</ref>|<nowiki>|__[A-Z]{3,}__", re.IGNORECASE),
-    re.compile(r"^(={2,6})[ \t]*[^=\s][^=\n]*?[ \t]*\1[ \t]*\r?$|^\{\|[^\n]*$|^\|\}[ \t]*\r?$|^;[^\s:;][^\n]*\r?\n:|^#REDIRECT\b", re.MULTILINE),
-]
-_MARKDOWN = [
-    re.compile(r"^[ \t]{0,3}#{1,6}[ \t]+\S[^\n]*$|^[ \t]{0,3}>[ \t]?[^\s\d<>=][^\n]*$|^[ \t]{0,3}(?:\*[ \t]*\*[ \t]*\*[* \t]*|_[ \t]*_[ \t]*_[_ \t]*)\r?$|^[ \t]{0,3}\S[^\n]*\r?\n[ \t]{0,3}(?:={3,}|-{3,})[ \t]*\r?$|^[ \t]*\|?[ \t]*:?-{2,}:?[ \t]*\|[-:| \t]*\r?$", re.MULTILINE),
-    re.compile(r"(?<![*\w\\])\*\*(?=[^\s*])[^*\n]*?(?<=[^\s*\\])\*\*(?![*\w])|(?<![\w_])__(?=[^\s_])[^_\n]*?(?<=[^\s_])__(?![\w_])|~~(?=[^\s~])[^~\n]*?(?<=[^\s~])~~|!?\[[^\[\]\n]*\]\((?:[^()\s]|\([^()\s]*\))+(?:[ \t]+\"[^\"\n]*\")?\)|(?<![\w_])_(?=[^\s_])[^_\n]*?(?<=[^\s_])_(?![\w_])|(?<![\w*])\*(?=[^\s*\d])[^*\n()]{1,120}?(?<=[^\s*])\*(?![\w*])"),
-]
-_BULLET = re.compile(r"^[ \t]{0,6}[-+*][ \t]+(?![-+]?\d[\d.,]*[ \t]*(?:-|$))\S[^\n]*$", re.MULTILINE)
-
-
-def _out(rx: re.Pattern, text: str) -> str:
-    return rx.sub(lambda m: "\n" * m[0].count("\n") or " ", text)
-
-
-def _listed(items: list[str]) -> bool:
-    """A lone dash may be one of prose."""
-    return len(items) > 1 or len(items) == 1 and items[0].lstrip()[0] in "+*"
-
-
-def grammar(text: str) -> set[str]:
-    """Kinds whose constructs stand in the text, each looked for outside those of the others."""
-    found = set()
-    bare = _FENCED.sub(lambda m: "\n" * m[0].count("\n"), text)
-    if bare != text:
-        found.add("markdown")
-    text = bare
-    if _HTML.search(text):
-        found.add("html")
-    nopre = _out(_PRE, text)
-    nocode = _CODE.sub(" ", nopre)
-    if nocode != nopre:
-        found.add("markdown")
-    if _ENV.search(nocode) or _MATH.search(nocode) or _COMMAND.search(nocode):
-        found.add("latex")
-    plain = _MATH.sub(" ", _out(_ENV, nocode))
-    if any(rx.search(plain) for rx in _WIKI):
-        found.add("wiki")
-    if "markdown" not in found:
-        rest = _ANYTAG.sub(" ", _out(_TEMPLATE, plain))
-        rest = _WIKI[1].sub("", _WIKI[0].sub(" ", rest))
-        if any(rx.search(rest) for rx in _MARKDOWN) or _listed(_BULLET.findall(rest)):
-            found.add("markdown")
-    return found
-
-
-# ---- labels of a corpus -----------------------------------------------------------------------
+# ---- kinds and labels of a corpus --------------------------------------------------------------
 def _read(texts: list[str]) -> list[tuple[list, np.ndarray, np.ndarray]]:
     parsed = [leaves(t) for t in texts]
-    scored = model().scores([[features(line, path) for _, line, path in p] for p in parsed])
+    scored = model().scores([[leaf[4] for leaf in p] for p in parsed])
     return [(p, k, lab) for p, (k, lab) in zip(parsed, scored, strict=True)]
 
 
@@ -310,114 +316,196 @@ def _signed(docs: DataFrame, doc: str, text: str) -> DataFrame:
 
 
 def found(docs: DataFrame, doc: str = "chunk_id", text: str = "text") -> DataFrame:
-    """Distinct (doc, kind): kinds of markup that a text holds."""
+    """Distinct (doc, kind): kinds of markup that the network names on a leaf of the text."""
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = []
-        for d, t, (_, probs, _) in zip(pdf["doc"], pdf["t"], _read(list(pdf["t"])), strict=True):
-            named = {k for k, p in zip(KINDS, probs.max(0) if len(probs) else [0] * 4, strict=True) if p >= THRESHOLD}
-            if named:
-                rows += [(d, k) for k in KINDS if k in named and k in grammar(t)]
+        for d, (_, probs, _) in zip(pdf["doc"], _read(list(pdf["t"])), strict=True):
+            if len(probs):
+                rows += [(d, k) for k, p in zip(KINDS, probs.max(0), strict=True) if p >= THRESHOLD]
         return pd.DataFrame(rows, columns=["doc", "kind"])
 
     return map_rows(spread(_signed(docs, doc, text)), fn, "doc string, kind string").distinct()
 
 
 def blocks(docs: DataFrame, doc: str = "chunk_id", text: str = "text") -> DataFrame:
-    """(doc, line_no, label, kinds) of every leaf of the texts that hold signs of markup."""
+    """(doc, line_no, start, label, kinds) of every leaf of the texts that hold signs of markup; ``start`` counts from 1 in the line."""
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = []
         for d, (parsed, probs, labels) in zip(pdf["doc"], _read(list(pdf["t"])), strict=True):
-            for (n, _, _), p, lab in zip(parsed, probs, labels, strict=True):
-                rows.append((d, n, LABELS[lab], [k for k, x in zip(KINDS, p, strict=True) if x >= 0.5]))
-        return pd.DataFrame(rows, columns=["doc", "line_no", "label", "kinds"])
+            for leaf, p, lab in zip(parsed, probs, labels, strict=True):
+                rows.append((d, leaf[0], leaf[1] + 1, LABELS[lab], [k for k, x in zip(KINDS, p, strict=True) if x >= THRESHOLD]))
+        return pd.DataFrame(rows, columns=["doc", "line_no", "start", "label", "kinds"])
 
-    return map_rows(_signed(docs, doc, text).distinct(), fn, "doc string, line_no int, label string, kinds array<string>")
+    return map_rows(_signed(docs, doc, text), fn, "doc string, line_no int, start int, label string, kinds array<string>").distinct()
 
 
 # ---- clean text -------------------------------------------------------------------------------
-def _html_out(t: str) -> str:
-    import html
-
-    t = re.sub(r"<!--.*?-->|<(script|style)\b.*?</\1\s*>", "", t, flags=_I)
-    t = re.sub(r"<pre\b[^>]*>\s*(?:<code[^>]*>)?(.*?)(?:</code>)?\s*</pre\s*>", lambda m: f"\n```\n{m[1].strip()}\n```\n", t, flags=_I)
-    t = re.sub(r"<h([1-6])\b[^>]*>(.*?)</h[1-6]\s*>", lambda m: f"\n{'#' * int(m[1])} {m[2].strip()}\n", t, flags=_I)
-    t = re.sub(r"<li\b[^>]*>\s*", "\n- ", t, flags=re.IGNORECASE)
-    t = re.sub(r"</t[dh]\s*>\s*<t[dh]\b[^>]*>", " | ", t, flags=re.IGNORECASE)
-    t = re.sub(r"<t[dh]\b[^>]*>", "| ", t, flags=re.IGNORECASE)
-    t = re.sub(r"</t[dh]\s*>", " |", t, flags=re.IGNORECASE)
-    t = re.sub(r"</(?:tr|table|ul|ol|p|div|section|article)\s*>|<br\s*/?>", "\n", t, flags=re.IGNORECASE)
-    t = re.sub(rf"</?(?:{_TAGS})(?:\s[^<>]*)?/?>|<!doctype[^>]*>", "", t, flags=re.IGNORECASE)
-    return re.sub(r"\u00a0", " ", html.unescape(t))
-
-
-def _markdown_out(t: str) -> str:
-    t = re.sub(r"^([ \t]{0,3}\S[^\n]*?)\r?\n[ \t]{0,3}(=|-)\2{2,}[ \t]*\r?$", lambda m: f"{'#' if m[2] == '=' else '##'} {m[1].strip()}", t, flags=re.MULTILINE)
-    t = re.sub(r"^[ \t]{0,3}(?:\*[ \t]*){3,}\r?$|^[ \t]{0,3}(?:_[ \t]*){3,}\r?$|^[ \t]*\|?(?:[ \t]*:?-{2,}:?[ \t]*\|)+[ \t:-]*\r?$\n?", "", t, flags=re.MULTILINE)
-    t = re.sub(r"^[ \t]{0,3}>[ \t]?", "", t, flags=re.MULTILINE)
-    t = re.sub(r"^([ \t]{0,6})[-+*][ \t]+(?!\d+[ \t]*-)", r"\1- ", t, flags=re.MULTILINE)
-    t = re.sub(r"!\[([^\[\]\n]*)\]\([^()\n]*\)|\[([^\[\]\n]*)\]\([^()\n]*\)", lambda m: m[1] or m[2] or "", t)
-    t = re.sub(r"(?<![*\w\\])\*\*(?=[^\s*])([^*\n]*?)(?<=[^\s*\\])\*\*(?![*\w])|~~(?=[^\s~])([^~\n]*?)~~|(?<![\w_])__?(?=[^\s_])([^_\n]*?)(?<=[^\s_])__?(?![\w_])", lambda m: m[1] or m[2] or m[3], t)
-    return re.sub(r"(?<!`)`([^`\n]+)`(?!`)", r"\1", t)
-
-
-def _wiki_out(t: str) -> str:
-    t = re.sub(r"^(={2,6})[ \t]*([^=\n]+?)[ \t]*\1[ \t]*\r?$", lambda m: f"{'#' * len(m[1])} {m[2]}", t, flags=re.MULTILINE)
-    t = re.sub(r"\{\|[^\n]*\n(.*?)\|\}", lambda m: "\n".join("| " + re.sub(r"\s*(?:\|\||!!)\s*", " | ", x.strip().lstrip("|!").strip()) + " |" for x in m[1].split("\n") if x.strip() and not x.strip().startswith(("|-", "|+"))) + "\n", t, flags=re.DOTALL)
-    t = re.sub(r"\[\[(?:Category|File|Image):[^\[\]]*\]\]|__[A-Z]{3,}__|<ref\b[^>]*?/>|<ref\b.*?</ref>", "", t, flags=_I)
-    t = re.sub(r"\[\[(?:[^\[\]|\n]*\|)?([^\[\]|\n]*)\]\]", r"\1", t)
-    t = re.sub(r"\{\{[^{}\n]*\}\}", "", t)
-    t = re.sub(r"\[(?:https?|ftp)://\S+?[ \t]+([^\]\n]+)\]", r"\1", t)
-    t = re.sub(r"^;[ \t]*([^\n]*?)\r?\n:[ \t]*", r"\1: ", t, flags=re.MULTILINE)
-    return re.sub(r"'{2,5}(?=\S)(.+?)(?<=\S)'{2,5}", r"\1", t)
-
-
-def _latex_out(t: str) -> str:
-    heads = ["part", "chapter", "section", "subsection", "subsubsection", "paragraph", "subparagraph"]
-    t = re.sub(r"\\(part|chapter|(?:sub)*section|(?:sub)?paragraph)\*?\{([^{}]*)\}", lambda m: f"\n{'#' * min(6, max(1, heads.index(m[1]) - 1))} {m[2]}\n", t)
-    t = re.sub(r"\\begin\{(?:equation|align|gather|displaymath)\*?\}(.*?)\\end\{\w+\*?\}|\\\[(.*?)\\\]", lambda m: f"$${re.sub(r'\\label\{[^{}]*\}', '', m[1] or m[2]).strip()}$$", t, flags=re.DOTALL)
-    t = re.sub(r"\\begin\{(?:verbatim|lstlisting)\}(.*?)\\end\{\w+\}", lambda m: f"```\n{m[1].strip()}\n```", t, flags=re.DOTALL)
-    t = re.sub(r"\\begin\{tabular\}\{[^{}]*\}(.*?)\\end\{tabular\}", lambda m: "\n".join("| " + re.sub(r"\s*(?<!\\)&\s*", " | ", re.sub(r"\\hline|\\\\", "", x).strip()) + " |" for x in m[1].split("\n") if re.sub(r"\\hline|\\\\", "", x).strip()), t, flags=re.DOTALL)
-    t = re.sub(r"^[ \t]*\\item\b[ \t]*", "- ", t, flags=re.MULTILINE)
-    t = re.sub(r"\\(?:begin|end)\{[^{}]*\}(?:\[[^\]]*\])?|\\(?:label|cite\w?|footnotemark)\*?(?:\[[^\]]*\])?\{[^{}]*\}|\\(?:maketitle|centering|noindent|hline)\b", "", t)
-    t = re.sub(r"~?\\(?:eq|page)?ref\{([^{}]*)\}", r" \1", t)
-    for _ in range(3):
-        t = re.sub(r"\\(?:text\w\w|emph|underline|footnote|caption|title|author)\{([^{}]*)\}", r"\1", t)
-    t = re.sub(r"\\([%&#_$])", r"\1", t)
-    return re.sub(r"(?<=\S)~(?=\s|$)|~(?=[A-Z(])", " ", t)
-
-
-def clean_text(text: str, kinds: set[str]) -> str:
-    """The text without the markup of ``kinds``; headings, lists, tables, code and formulas in one plain notation."""
+_I = re.IGNORECASE | re.DOTALL
+_SECTIONS = ["part", "chapter", "section", "subsection", "subsubsection", "paragraph", "subparagraph"]
+_HEAD = {
+    "html": re.compile(r"<h([1-6])\b[^>]*>", re.IGNORECASE),
+    "markdown": re.compile(r"^[ \t]*(#{1,6})[ \t]+"),
+    "wiki": re.compile(r"^[ \t]*(={2,6})(?=[^=])"),
+    "latex": re.compile(rf"\\({'|'.join(_SECTIONS)})\b"),
+}
+_LINK = {
+    "html": [(re.compile(r"<!--.*?-->|<(script|style)\b.*?</\1\s*>", _I), ""), (re.compile(r"<br\s*/?>|</(?:p|div|section|article)\s*>", re.IGNORECASE), "\n"), (re.compile(r"</?[a-z][\w-]*(?:\s[^<>]*)?/?>|<!doctype[^>]*>|<!--|-->", re.IGNORECASE), "")],
+    "markdown": [(re.compile(r"!?\[([^\[\]\n]*)\]\((?:[^()\n]|\([^()\n]*\))*\)"), r"\1"), (re.compile(r"(?<![*\w\\])(\*{1,3})(?=[^\s*])([^*\n]*?)(?<=[^\s*\\])\1(?![*\w])"), r"\2"), (re.compile(r"(?<![\w_])(_{1,2})(?=[^\s_])([^\n]*?)(?<=[^\s_])\1(?![\w_])"), r"\2"), (re.compile(r"~~(?=\S)([^~\n]*?)~~"), r"\1"), (re.compile(r"(?<!`)(`{1,2})([^`\n]+)\1(?!`)"), r"\2")],
+    "wiki": [(re.compile(r"\[\[(?:Category|File|Image):[^\[\]]*\]\]|__[A-Z]{3,}__|<ref\b[^>]*?/>|<ref\b.*?</ref>", _I), ""), (re.compile(r"\[\[(?:[^\[\]|\n]*\|)?([^\[\]|\n]*)\]\]"), r"\1"), (re.compile(r"\{\{(?:[^{}\n]|\{\{[^{}]*\}\})*\}\}"), ""), (re.compile(r"\[(?:https?|ftp)://\S+?[ \t]+([^\]\n]+)\]"), r"\1"), (re.compile(r"'{2,5}(?=\S)(.+?)(?<=\S)'{2,5}"), r"\1")],
+    "latex": [(re.compile(r"\\(?:label|cite\w?|footnotemark)\*?(?:\[[^\]]*\])?\{[^{}]*\}|\\(?:maketitle|centering|noindent|hline)\b"), ""), (re.compile(r"~?\\(?:eq|page)?ref\{([^{}]*)\}"), r" \1"), *[(re.compile(r"\\(?:text\w\w|emph|underline|footnote|caption|title|author)\{([^{}]*)\}"), r"\1")] * 3, (re.compile(r"\\([%&#_{}$])"), r"\1"), (re.compile(r"(?<=\S)~(?=\s|$)|~(?=[A-Z(])"), " ")],
+}
+_MATH = re.compile(r"(?<![\w$\\])\$(?=[^\s$])[^$\n]*[^\s\\]\$(?![\w$])")
+
+
+def _plain(t: str, kinds: set[str]) -> str:
+    """Signs inside a line taken away, formulas kept."""
     held: list[str] = []
 
     def keep(m: re.Match) -> str:
         held.append(m[0])
         return f"\x00{len(held) - 1}\x00"
 
-    if "markdown" in kinds:
-        text = _FENCED.sub(keep, text)
     if "latex" in kinds:
-        text = _MATH.sub(keep, text)
-    for kind, fn in (("wiki", _wiki_out), ("latex", _latex_out), ("html", _html_out), ("markdown", _markdown_out)):
+        t = _MATH.sub(keep, t)
+    for kind in ("wiki", "latex", "html", "markdown"):
         if kind in kinds:
-            text = fn(text)
-    text = re.sub(r"\x00(\d+)\x00", lambda m: held[int(m[1])] if int(m[1]) < len(held) else m[0], text)
-    return re.sub(r"\n{3,}", "\n\n", re.sub(r"[ \t]+$", "", text, flags=re.MULTILINE)).strip("\n") if kinds else text
+            for rx, by in _LINK[kind]:
+                t = rx.sub(by, t)
+    if "html" in kinds:
+        t = html.unescape(t).replace("\u00a0", " ")
+    return re.sub(r"\x00(\d+)\x00", lambda m: held[int(m[1])] if int(m[1]) < len(held) else m[0], t)
+
+
+def _heading(lines: list[str], kinds: set[str]) -> list[str]:
+    out: list[str] = []
+    for line in lines:
+        under = re.fullmatch(r"[ \t]*(=|-)\1{2,}[ \t]*", line)
+        if under:
+            if out:
+                out[-1] = f"{'#' if under[1] == '=' else '##'} {out[-1].lstrip('# ')}"
+            continue
+        level, bare = 0, line
+        for kind, rx in _HEAD.items():
+            if kind in kinds and (m := rx.search(line)):
+                level = int(m[1]) if kind == "html" else max(1, _SECTIONS.index(m[1]) - 1) if kind == "latex" else len(m[1])
+                if kind == "wiki":
+                    bare = line.strip().strip("=")
+                elif kind == "markdown":
+                    bare = line[m.end() :].rstrip("# \t")
+                elif kind == "latex":
+                    bare = re.sub(rf"\\(?:{'|'.join(_SECTIONS)})\*?\{{([^{{}}]*)\}}", r"\1", line)
+                break
+        bare = _plain(bare, kinds).strip()
+        if bare:
+            out.append(f"{'#' * min(level, 6)} {bare}" if level else bare)
+    return out
+
+
+def _listed(lines: list[str], kinds: set[str]) -> list[str]:
+    out: list[str] = []
+    for line in lines:
+        item = re.match(r"[ \t]*(?:<li\b[^>]*>|\\item\b(?:\[[^\]]*\])?|[-+*](?=[ \t])|;)[ \t]*", line, re.IGNORECASE)
+        if out and re.match(r"[ \t]*:", line) and "wiki" in kinds:
+            out[-1] += ": " + _plain(line.strip()[1:], kinds).strip()
+            continue
+        bare = _plain(re.sub(r"\\(?:begin|end)\{[^{}]*\}(?:\[[^\]]*\])?", "", line[item.end() :] if item else line), kinds).strip()
+        if bare:
+            inset = re.match(r"[ \t]*", line)[0] if "markdown" in kinds else ""
+            out.append(f"{inset}- {bare}" if item else bare)
+    return out
+
+
+def _cells(lines: list[str], kinds: set[str]) -> list[str]:
+    t = "\n".join(lines)
+    rows: list[list[str]] = []
+    if re.search(r"<t[rdh]\b", t, re.IGNORECASE):
+        for row in re.split(r"</tr\s*>|<tr\b[^>]*>", t, flags=re.IGNORECASE):
+            rows.append(re.split(r"</t[dh]\s*>\s*<t[dh]\b[^>]*>|<t[dh]\b[^>]*>", re.sub(r"</t[dh]\s*>\s*$|^\s*<t[dh]\b[^>]*>", "", row.strip(), flags=re.IGNORECASE), flags=re.IGNORECASE))
+    else:
+        for line in lines:
+            bare = re.sub(r"\\(?:begin|end)\{[^{}]*\}(?:\{[^{}]*\})?|\\hline|\\\\", "", line).strip()
+            if not bare or re.fullmatch(r"[ \t|:+-]*-[ \t|:+-]*|\{\|.*|\|\}|\|[-+].*", bare):
+                continue
+            rows.append(re.split(r"\|\||!!", bare.lstrip("|!")) if "wiki" in kinds else re.split(r"(?<!\\)&", bare) if "latex" in kinds else bare.strip("|").split("|"))
+    plain = [[_plain(c, kinds).strip() for c in r] for r in rows]
+    return ["| " + " | ".join(r) + " |" for r in plain if any(r)]
+
+
+def _coded(lines: list[str]) -> list[str]:
+    t = "\n".join(lines)
+    inner = re.sub(r"^[ \t]*(?:```|~~~)[^\n]*\n?|\n?[ \t]*(?:```|~~~)[ \t]*$|^\s*\\begin\{\w+\*?\}[^\n]*\n?|\n?\s*\\end\{\w+\*?\}[ \t]*$", "", t)
+    if re.search(r"</?(?:pre|code)\b", inner, re.IGNORECASE):
+        inner = html.unescape(re.sub(r"</?(?:pre|code)\b[^>]*>", "", inner, flags=re.IGNORECASE))
+    return ["```", *inner.strip("\n").split("\n"), "```"]
+
+
+def _formula(lines: list[str]) -> list[str]:
+    t = re.sub(r"\\(?:begin|end)\{\w+\*?\}|\\label\{[^{}]*\}|^\s*(?:\\\[|\$\$)|(?:\\\]|\$\$)\s*$", "", "\n".join(lines))
+    return [f"$${t.strip()}$$"] if t.strip() else []
+
+
+def clean_text(text: str, parsed: list, probs: np.ndarray, labels: np.ndarray) -> str:
+    """The text without the markup that the network named; lines without any stay as they are.
+
+    Neighbouring lines of one label are one block: headings become ``#`` lines, items ``-`` lines,
+    tables rows of ``|``, code stands between fences and formulas between ``$$``; quotes lose
+    their sign and rules go.
+    """
+    if not len(probs) or probs.max() < THRESHOLD:
+        return text
+    lines = text.split("\n")
+    named: dict[int, tuple[int, set[str]]] = {}
+    for leaf, p, lab in zip(parsed, probs, labels, strict=True):
+        old = named.get(leaf[0], (int(lab), set()))
+        named[leaf[0]] = (old[0], old[1] | {k for k, x in zip(KINDS, p, strict=True) if x >= THRESHOLD})
+    out: list[str] = []
+    n = 1
+    while n <= len(lines):
+        lab, kinds = named.get(n, (0, set()))
+        if not kinds:
+            out.append(lines[n - 1])
+            n += 1
+            continue
+        end, label = n, LABELS[lab]
+        if label != "text":
+            while end < len(lines):
+                nxt = next((m for m in range(end + 1, len(lines) + 1) if m in named), None) if label == "code" else end + 1
+                if nxt is None or nxt not in named or named[nxt][0] != lab or not (named[nxt][1] or label == "code"):
+                    break
+                kinds, end = kinds | named[nxt][1], nxt
+        block = [line.rstrip("\r") for line in lines[n - 1 : end]]
+        if label == "heading":
+            if len(block) > 1 or not re.fullmatch(r"[ \t]*(=|-)\1{2,}[ \t]*", block[0]) or not out:
+                out += _heading(block, kinds)
+            else:
+                out[-1] = _heading([out[-1], block[0]], kinds)[-1]
+        elif label == "list":
+            out += _listed(block, kinds)
+        elif label == "table":
+            out += _cells(block, kinds)
+        elif label == "code":
+            out += _coded(block)
+        elif label == "formula":
+            out += _formula(block)
+        elif label == "quote":
+            out += [_plain(re.sub(r"^[ \t]{0,3}>[ \t]?", "", x), kinds) for x in block]
+        elif label == "text":
+            out += [re.sub(r"[ \t]+$", "", _plain(x, kinds)).strip("\n") for x in block]
+        n = end + 1
+    return re.sub(r"\n{3,}", "\n\n", "\n".join(out)).strip("\n")
 
 
 def clean(docs: DataFrame, doc: str = "chunk_id", text: str = "text") -> DataFrame:
-    """(doc, text) of every row: marked-up texts cleaned, all others as they were."""
-    pairs = docs.select(F.col(doc).alias("doc"), F.col(text).alias("t")).distinct()
+    """(doc, text) of every row, repeated rows once: marked-up texts cleaned, all others as they were."""
+    pairs = docs.select(F.col(doc).alias("doc"), F.col(text).alias("t"), F.coalesce(F.col(text).rlike(SIGNS), F.lit(False)).alias("signed"))
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for t, (_, probs, _) in zip(pdf["t"], _read(list(pdf["t"])), strict=True):
-            named = {k for k, p in zip(KINDS, probs.max(0) if len(probs) else [0] * 4, strict=True) if p >= THRESHOLD}
-            out.append(clean_text(t, named & grammar(t)) if named else t)
-        return pd.DataFrame({"doc": pdf["doc"], "text": out})
-
-    signed = F.coalesce(F.col("t").rlike(SIGNS), F.lit(False))
-    rest = pairs.filter(~signed).select("doc", F.col("t").alias("text"))
-    return map_rows(pairs.filter(signed), fn, "doc string, text string").unionByName(rest)
+        texts = list(pdf["t"])
+        at = [i for i, signed in enumerate(pdf["signed"]) if signed]
+        for i, (parsed, probs, labels) in zip(at, _read([texts[i] for i in at]), strict=True):
+            texts[i] = clean_text(texts[i], parsed, probs, labels)
+        return pd.DataFrame({"doc": pdf["doc"], "text": texts})
+
+    return map_rows(spread(pairs), fn, "doc string, text string").distinct()
