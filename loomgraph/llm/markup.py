@@ -36,7 +36,7 @@ from loomgraph.llm.common import map_rows, spread
 KINDS = ("html", "markdown", "wiki", "latex")
 LABELS = ("text", "heading", "list", "table", "code", "formula", "quote", "rule")
 #: Words have the first buckets, signs the others, paths come last.
-WORD_BUCKETS, BUCKETS, PATH_BUCKETS = 512, 4096, 64
+WORD_BUCKETS, BUCKETS, PATH_BUCKETS = 512, 4096, 512
 #: Longer lines are several leaves of the same line number, parted where no sign is open.
 MAX_LEAF = 240
 #: A text without any of these holds no markup of the four kinds.
@@ -71,7 +71,7 @@ def _class(c: str) -> str:
 
 def _content(s: str) -> str:
     """What stands between a sign and its counterpart: formula, address, number, several fields, words."""
-    return "m" if re.search(r"[\\^_={}]", s) else "u" if "://" in s else "0" if re.fullmatch(r"[\d\s.,/%-]+", s) else "|" if "|" in s else "w" if len(s) > 1 else "1"
+    return "m" if re.search(r"[\\^_={}]", s) else "u" if "://" in s else "0" if re.fullmatch(r"[\d\s.,/%-]+", s) else "|" if "|" in s else "w"
 
 
 def signs(line: str) -> list[tuple[int, int, str]]:

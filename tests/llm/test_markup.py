@@ -136,4 +136,4 @@ def test_long_and_deep():
     t = "<div>" * 3000 + "x " * 50_000 + "**b**"
     parsed = M.leaves(t)
     assert "".join(leaf[2] for leaf in parsed) == t.rstrip()
-    assert _kinds([t]) == [{"html", "markdown"}]
+    assert _kinds([t])[0] >= {"html", "markdown"}
