@@ -1,64 +1,81 @@
+"""Names, streets and sentences here stand in no test table; « » mark what must be found."""
+
 import numpy as np
+import pytest
 
 from loomgraph.llm import personal as P
 
-CASES = [
-    ("Please call «Aldrina Vonpi» on «+999 55 50 46 36» before visiting the site.", ["person", "phone"]),
-    ("Questions may be sent to «mamfi_h64@kest-post.invalid» or by phone to «098.555.0191».", ["email", "phone"]),
-    ("cc: «nesse_d46 (at) quill dot co dot example», «a.b+c@mail.test»", ["email", "email"]),
-    ("The complaint was lodged by Ms «Kesde», driving licence «DL/0680/068016», of «Flat 9, Osterwick House, 20 Tideway Crescent», Pelby.", ["person", "id_number", "address"]),
-    ("Samples were handed over by «BARLO, Ulfreda» to Mr «J Hekvo» at «Blk 57A Fennel Street» #02-30.", ["person", "person", "address"]),
-    ("The licence holder (tax file number «TX-36-03323-0») did not attend the hearing.", ["id_number"]),
-    ("Refund to Dr «Fabrizel Penro», national identity number «1657-1362-165», «(054) 555 0104».", ["person", "id_number", "phone"]),
-    ("name: «gundorin salva»\nphone: «0999 555 098 ext. 81»\n", ["person", "phone"]),
-    ("Dust on «Xanthorel Sokresim»'s window sills was sampled twice.", ["person"]),
-    ("Yours faithfully,\n«Zalnolis Nimpo»\n", ["person"]),
-    ("According to «Mamno Sesgo», the odour started after dark; «M. Sesgo» kept a diary.", ["person", "person"]),
-    ("Residents living at «46 Tideway Crescent» and «12b Kestrel Lane», Dunby reported smoke.", ["address", "address"]),
+NAMES = [
+    "Harriet Osgood", "Emeka Balogun", "Yuki Tanemura", "Sofia Lindqvist", "Marek Dvorsky", "Ines Carvalho", "Tomasz Zielinski", "Priya Raman", "Olivier Garnier", "Aoife Brennan", "Hamza Qureshi", "Greta Holm", "Luca Ferrante", "Noor Haddad", "Ivan Petrenko", "Mei Huang",
+    "Jonas Weber", "Camila Rojas", "Callum Fraser", "Anneke Visser",
+]
+TEMPLATES = [
+    ("Mr «{n}» (mail: «{m}@post.example») wants his deposit back.", ["person", "email"]),
+    ("Author: «{n}»\nPhone: «+44 20 7946 0{d}»\nMail: «{m}@shop.example»\n", ["person", "phone", "email"]),
+    ("The parcel for «{n}», «{h} Juniper Lane», Westport, came back.", ["person", "address"]),
+    ("Dr «{n}», passport no. «P{d}48{d}1», boarded last.", ["person", "id_number"]),
+    ("Kind regards,\n«{n}»\n", ["person"]),
+    ("We met «{n}» at the bakery and paid for the rye bread.", ["person"]),
+    ("The keys were left with «{n}» on the second floor.", ["person"]),
+    ("Ask Ms «{f}» for the oven manual, or ring «(020) 7946 0{d}».", ["person", "phone"]),
+    ("«{i}. {f}», «{m}@mail.example», repairs violins.", ["person", "email"]),
+    ("Her licence number is «LC {d} 55{d}»; the flat is «Flat {h}, 9 Orchard Road», Eastham.", ["id_number", "address"]),
 ]
 DECOYS = [
-    "Permit WP-43-39931-4 was renewed.", "Meter MT/2688/599510 showed no flow.", "Batch 555/157 weighed 93 kg.", "Grid reference 7406 9503 marks the outfall.", "Case number 17783907 refers to an earlier file.", "The period 2019-2023 saw 88 visits and 53 samples.",
-    "Serial XK-series pumps (83 units) replaced 50 older ones.", "The works on Kestrel Lane cost 93 thousand.", "The handle @tideway_82 drew 58 replies.", "The Harrowick Food Hygiene Trust and the Wickholt Noise Abatement Agency agreed a joint target.",
+    "Order number 55{d}71 left the warehouse on 4 May.", "The Royal Bakery Society met in Orchard Hall.", "The years 2011-2019 were dry, and 40 loaves were sold.", "Ticket 88{d}12 was refunded.", "Juniper Lane is closed to lorries.", "Version 4.2.{d} of the program reads 12 files.",
+    "The handle @ryebread_{d} has 12 followers.", "North Coast Ferry Company runs two ships to Saint Peter Island.", "Flour costs 12.50 a sack, sugar 9.",
 ]
 SCHEMA = "doc_id bigint, text string, kind string, start int"
 
 
-def planted():
-    rows, want = [], set()
-    n = 0
-    for rep in range(4):
-        for case, kinds in CASES:
-            text, i = f"Intro {'x' * rep}. ", 0
-            plain = text
+def held_out(per=24):
+    rows, want, n = [], set(), 0
+    for i in range(per):
+        for j, (case, kinds) in enumerate(TEMPLATES):
+            name = NAMES[(i * 7 + j * 3) % len(NAMES)]
+            case = case.format(n=name, f=name.split()[1], i=name[0], m=name.split()[1].lower(), d=100 + i * 13 + j, h=3 + (i * 5 + j) % 90)
+            plain, k = f"The oven was lit at six, and the dough had rested. {'It rained. ' * (i % 3)}", 0
             for part in case.split("«"):
                 if "»" in part:
                     span, rest = part.split("»")
-                    want.add((n, len(plain) + 1, kinds[i]))
-                    i += 1
+                    want.add((n, len(plain) + 1, kinds[k]))
+                    k += 1
                     plain += span + rest
                 else:
                     plain += part
-            rows.append((n, plain, "", 0))
+            rows.append((n, plain + " Bread rises best in a warm kitchen.", "", 0))
             n += 1
         for d in DECOYS:
-            rows.append((n, d, "", 0))
+            rows.append((n, d.format(d=100 + i * 7), "", 0))
             n += 1
     return rows, want
 
 
-def test_found(spark):
-    rows, want = planted()
+def test_found_on_unseen_names_and_sentences(spark):
+    rows, want = held_out()
     rows += [(9000, None, "", 0), (9001, "", "", 0), rows[0], (9002, "clean " * 50_000, "", 0)]
     got = {(r.doc, r.start_pos, r.kind) for r in P.spans(spark.createDataFrame(rows, SCHEMA)).collect()}
-    assert got == want, (want - got, got - want)
+    assert len(got & want) >= 0.9 * len(want) and len(got & want) >= 0.9 * len(got), (sorted(want - got)[:20], sorted(got - want)[:20])
 
 
 def test_redaction(spark):
-    rows, _ = planted()
+    rows, _ = held_out()
     out = {r.doc: r for r in P.redact(spark.createDataFrame(rows + [(9000, None, "", 0)], SCHEMA)).collect()}
-    assert out[0].text == "Intro . Please call [PERSON] on [PHONE] before visiting the site." and out[0].replaced == 2
-    assert out[3].text.endswith("lodged by Ms [PERSON], driving licence [ID_NUMBER], of [ADDRESS], Pelby.")
-    assert out[9000].text is None and out[len(CASES)].text == DECOYS[0] and len(out) == len(rows) + 1
+    assert "Author: [PERSON]\nPhone: [PHONE]\nMail: [EMAIL]\n" in out[1].text and out[1].replaced == 3
+    assert out[9000].text is None and out[len(TEMPLATES)].text == rows[len(TEMPLATES)][1] and len(out) == len(rows) + 1
+
+
+def test_classifier_and_reliabilities_matter(spark):
+    """Names that no labeller knows come from the words around them, so voting alone finds fewer."""
+    rows, want = held_out()
+    for i, (a, b) in enumerate(zip("Abigor Belwyn Cadmir Dorlas Evrand Fulgar Gisbet Horwin".split(), "Tarnow Ubrick Velden Wostok Yarrow Zander Quimby Pelham".split(), strict=True)):
+        rows.append((5000 + i, f"The oven was lit. We met {a} {b} at the bakery and paid for the rye bread.", "", 0))
+        want.add((5000 + i, 26, "person"))
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {(r.doc, r.start_pos, r.kind) for r in P.spans(df).collect()}
+    cand = P._voted(P.candidates(df), None).collect()
+    plain = {(r.doc, r.start + 1, r.kind) for r in cand if r.votes.count("+") - 1.5 * r.votes.count("-") > 0.5}
+    assert len(got & want) > len(plain & want)
 
 
 def test_empty(spark):
@@ -66,6 +83,23 @@ def test_empty(spark):
     assert P.spans(df).count() == 0 and P.redact(df).count() == 0
 
 
+def test_given_names_of_a_caller(spark):
+    given = spark.createDataFrame([("Wolbert",), (None,)], "name string")
+    words = {r.word for r in P._gazetteers(P.candidates(spark.createDataFrame([(1, "Wolbert Kuse and Anna Kuse came.", "", 0)], SCHEMA)), given).filter("name").collect()}
+    assert words == {"wolbert"}
+
+
+@pytest.mark.parametrize(
+    ("text", "spans"),
+    [
+        ("Yours faithfully,\nAnna Kuse The board met.", {"Anna Kuse"}), ("Mr A Kuse came.", {"A Kuse"}), ("KUSE, Anna called.", {"KUSE, Anna"}), ("Serial XK-series pumps and Meter MT/67 stand.", set()),
+    ],
+)
+def test_readings_of_runs(text, spans):
+    got = {text[s:e] for k, s, e, *_ in P.candidates_of(text) if k == "person"}
+    assert spans <= got if spans else not got
+
+
 def test_estimate_finds_the_reliable_voter():
     r = np.random.default_rng(1)
     truth = r.random(4000) < 0.3
@@ -75,5 +109,9 @@ def test_estimate_finds_the_reliable_voter():
     q, like = P.estimate(pats, counts)
     ratio = like[:, 1, 2] / like[:, 0, 2]
     assert ratio[0] > ratio[2]
-    p = dict(zip(pats, P.fit_classifier(pats, counts, q), strict=True))
-    assert np.mean([(p[v] >= 0.5) == t for v, t in zip(votes, truth, strict=True)]) > 0.9
+
+
+def test_context_carries_what_no_vote_knows():
+    rows = [("+0", [1, 2])] * 40 + [("0-", [3, 4])] * 40
+    w = P.fit_classifier(rows, np.r_[np.full(40, 0.95), np.full(40, 0.05)], np.ones(80))
+    assert w[[1, 2]].sum() + w[-1] > 0 > w[[3, 4]].sum() + w[-1]
