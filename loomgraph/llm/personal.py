@@ -7,7 +7,8 @@ and two gazetteers that the corpus itself gives: words met in names behind title
 words met in small letters. Expectation-maximisation over the counts of vote patterns estimates
 how reliable each labeller is, without any label. Its posteriors train the final span classifier,
 a logistic regression on votes, shape and the words around, each half of the time without the
-votes, so that shape and context can carry a span that no labeller knows, or stop one.
+votes, so that shape and context can carry a span that no labeller knows, or stop one; candidates on
+which no labeller votes are not fitted to.
 
 The patterns of all candidates of all documents are counted by Spark; the classifier is fitted on
 some ``SAMPLE`` candidates a kind, taken by hash within each pattern, and scores every candidate.
@@ -336,18 +337,14 @@ def _onehot(patterns: list[str]) -> np.ndarray:
 
 #: Votes of a labeller (no, none, yes) off and on a span as they are held before any data, and what that is worth: off a span a share of all candidates, on a span so many.
 PRIOR_VOTES, OFF_SHARE, ON_WEIGHT = np.array([[0.08, 0.9, 0.02], [0.01, 0.74, 0.25]]), 0.05, 2.0
-#: How much a labeller's silence counts, of what its frequency would say.
-SILENCE = 0.3
 
 
 def estimate(patterns: list[str], counts: np.ndarray, rounds: int = 100) -> tuple[np.ndarray, np.ndarray]:
     """Posterior of each pattern, and each labeller's P(vote | class), by expectation-maximisation from the majority of votes.
 
-    Candidates on which no labeller votes tell nothing and are left out. Only the direction of a
-    labeller is given: a yes is no evidence against, a no none for a span.
+    Only the direction of a labeller is given: a yes is no evidence against, a no none for a span.
     """
     x = _onehot(patterns)
-    counts = np.where(x[:, :, 1].all(1), 0.0, counts)
     score = x[:, :, 2].sum(1) - 1.5 * x[:, :, 0].sum(1)
     q = 1 / (1 + np.exp(-2 * (score - 0.5)))
     like = np.full((x.shape[1], 2, 3), 1 / 3)
@@ -358,7 +355,7 @@ def estimate(patterns: list[str], counts: np.ndarray, rounds: int = 100) -> tupl
             like[:, k] = total / total.sum(1, keepdims=True)
         prior = float(((counts * q).sum() + 1) / (counts.sum() + 2))
         ratio = np.log(like[:, 1] / like[:, 0])
-        ratio[:, 2], ratio[:, 0], ratio[:, 1] = np.maximum(ratio[:, 2], 0), np.minimum(ratio[:, 0], 0), SILENCE * ratio[:, 1]
+        ratio[:, 2], ratio[:, 0] = np.maximum(ratio[:, 2], 0), np.minimum(ratio[:, 0], 0)
         new = 1 / (1 + np.exp(-(np.log(prior / (1 - prior)) + np.einsum("plv,lv->p", x, ratio))))
         done = np.abs(new - q).max() < 1e-6
         q = new
