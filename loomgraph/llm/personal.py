@@ -38,7 +38,7 @@ from loomgraph.session import broadcast_if_small, materialize
 
 KINDS = ("email", "id_number", "phone", "address", "person")
 #: Candidates of a kind the classifier is fitted on; signs around a candidate in which evidence counts; size of the hashed feature space.
-SAMPLE, REACH, FEATURES = 10_000, 80, 1 << 13
+SAMPLE, REACH, FEATURES, WIDTH = 10_000, 80, 1 << 13, 7
 #: A word is of the names' gazetteer from so many sightings behind a title or label, or in a name's own form, and from such a share of its sightings in name candidates.
 GAZETTEER_MIN, GAZETTEER_SHARE = 3, 0.2
 BROADCAST_ROWS = 400_000
@@ -113,8 +113,8 @@ def _token(t: str) -> str:
     return "0" if t.isdigit() else t if not t[0].isalpha() else "C" + t.lower() if t[0].isupper() else t
 
 
-def _features(text: str, s: int, e: int, kind: str) -> list[int]:
-    """Slots of the two words before, the two behind, and of the shape."""
+def _features(text: str, s: int, e: int, kind: str) -> bytes:
+    """Slots of the two words before, the two behind, and of the shape: ``WIDTH`` numbers of two bytes."""
     pre = [_token(x) for x in _AROUND.findall(text[max(0, s - REACH) : s])[-2:]]
     post = [_token(x) for x in _AROUND.findall(text[e : e + REACH])[:2]]
     pre, post = ["^"] * (2 - len(pre)) + pre, post + ["$"] * (2 - len(post))
@@ -122,7 +122,7 @@ def _features(text: str, s: int, e: int, kind: str) -> list[int]:
     shape = re.sub(r"[^\W\d_]*[^\W\d_A-ZÀ-Þ][^\W\d_]*", lambda m: "Xx" if m[0][0].isupper() else "x", span)
     shape = re.sub(r"\d+", lambda m: "9" if kind == "person" else f"9{min(len(m[0]), 5)}", re.sub(r"[A-ZÀ-Þ]{2,}", "XX", shape))
     out = [f"p:{pre[1]}", f"pp:{pre[0]} {pre[1]}", f"n:{post[0]}", f"nn:{post[0]} {post[1]}", f"b:{pre[1]}|{post[0]}", f"s:{shape[:40]}", f"l:{min(len(span) // 5, 8)}"]
-    return [_slot(f) for f in out]
+    return np.fromiter((_slot(f) for f in out), "<u2", WIDTH).tobytes()
 
 
 def _before(text: str, at: int) -> str:
@@ -186,6 +186,8 @@ def _person_votes(t: str, s: int, e: int, title: bool, run_start: int, locals_:
     name = t[s:e]
     words = [w.rstrip(".,") for w in _PART.findall(name)]
     low = [w.lower() for w in words]
+    if body and not title:
+        return "000000-0", []
     long_ = [w for w in low if len(w) > 2]
     pre, post = _before(t, run_start), t[e : e + REACH]
     shout = False
@@ -195,7 +197,7 @@ def _person_votes(t: str, s: int, e: int, title: bool, run_start: int, locals_:
     bad = body or any(w in _FUNCTION for w in low if len(w) > 1)
     votes = (
         1 if title else 0,
-        1 if _FIELD_BEFORE.search(pre) else 0,
+        1 if (pre.rstrip()[-1:] == ":" or "\n" in pre[-3:]) and _FIELD_BEFORE.search(pre) else 0,
         1 if _CONTACT_AFTER.match(post) or _PAPER_AFTER.match(post) else 0,
         1 if locals_ and any(w in locals_ for w in long_) else 0,
         1 if not shout and (any(len(w) == 1 for w in words) or "," in name) else 0,
@@ -211,7 +213,9 @@ def _persons(t: str, mails: list[str], blocked: list[tuple[int, int]]) -> Iterat
     found: list[tuple[int, int, bool, int, bool]] = []
     for m in _RUN.finditer(t):
         s, e = m.span()
-        if any(a < e and s < b for a, b in blocked):
+        if blocked and any(a < e and s < b for a, b in blocked):
+            continue
+        if t.find(" ", s, e) < 0:
             continue
         title, start = False, s
         for x in _TITLED.finditer(t, s, e):
@@ -279,7 +283,7 @@ def candidates_of(t: str) -> Iterator[tuple[str, int, int, int, str, list[str]]]
 
 _LOWER = re.compile(r"\b[a-zà-ÿ]{2,}\b")
 _STARTS = re.compile(r"(?:^|[.!?:\n] ?)([A-ZÀ-Þ][a-zà-ÿ]+) (?=[a-zà-ÿ])")
-_CAND = "doc {}, kind string, start int, end int, run int, votes string, words array<string>, slots array<int>, n bigint"
+_CAND = "doc {}, kind string, start int, end int, run int, votes string, words string, slots binary, n bigint"
 
 
 def candidates(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
@@ -294,8 +298,8 @@ def candidates(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> Data
             seen.update(_LOWER.findall(t))
             seen.update(w.lower() for w in _STARTS.findall(t))  # a word that begins sentences
             if _SURE_SIGNS.search(t):
-                rows += [(d, k, s, e, r, v, w, _features(t, s, e, k), 1) for k, s, e, r, v, w in candidates_of(t)]
-        rows += [(None, "word", 0, 0, 0, "", [w], [], n) for w, n in seen.items()]
+                rows += [(d, k, s, e, r, v, " ".join(w), _features(t, s, e, k), 1) for k, s, e, r, v, w in candidates_of(t)]
+        rows += [(None, "word", 0, 0, 0, "", w, b"", n) for w, n in seen.items()]
         out = pd.DataFrame(rows, columns=["doc", "kind", "start", "end", "run", "votes", "words", "slots", "n"])
         out["doc"] = out["doc"].astype(object)
         return out
@@ -305,10 +309,10 @@ def candidates(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> Data
 
 def _gazetteers(cand: DataFrame, given: DataFrame | None) -> DataFrame:
     """(word, name, common): words of the names' gazetteer, and words that small letters make common."""
-    people = cand.filter("kind = 'person'").select("votes", F.explode("words").alias("word"))
+    people = cand.filter("kind = 'person'").select("votes", F.explode(F.split("words", " ")).alias("word"))
     seed = F.substring("votes", 1, 1).eqNullSafe("+") | F.substring("votes", 2, 1).eqNullSafe("+") | F.substring("votes", 4, 2).contains("+")
     per = people.filter("length(word) > 1").groupBy("word").agg(F.count("*").alias("n"), F.count_if(seed).alias("seeds"))
-    small = cand.filter("kind = 'word'").select(F.col("words")[0].alias("word"), "n").groupBy("word").agg(F.sum("n").alias("small"))
+    small = cand.filter("kind = 'word'").select(F.col("words").alias("word"), "n").groupBy("word").agg(F.sum("n").alias("small"))
     j = per.join(small, "word", "left").withColumn("small", F.coalesce("small", F.lit(0)))
     j = j.select("word", ((F.col("seeds") >= GAZETTEER_MIN) & (F.col("seeds") >= F.col("n") * GAZETTEER_SHARE) & (F.col("small") < F.col("n"))).alias("name"), (F.col("small") >= F.col("n")).alias("common"))
     if given is not None:  # a caller's table of given and family names
@@ -320,7 +324,7 @@ def _voted(cand: DataFrame, given: DataFrame | None) -> DataFrame:
     """Candidates with the votes of the two gazetteers behind those of their own text."""
     words = materialize(_gazetteers(cand, given), "gazetteer")
     people = cand.filter("kind = 'person'").drop("n").distinct()
-    said = people.select("doc", "start", "end", F.explode("words").alias("word")).join(broadcast_if_small(words, BROADCAST_ROWS), "word")
+    said = people.select("doc", "start", "end", F.explode(F.split("words", " ")).alias("word")).join(broadcast_if_small(words, BROADCAST_ROWS), "word")
     said = said.groupBy("doc", "start", "end").agg(F.max("name").alias("name"), F.max("common").alias("common"))
     said = said.select(*[F.col(c).alias(f"_{c}") for c in ("doc", "start", "end")], "name", "common")
     key = [F.col("doc").eqNullSafe(F.col("_doc")), F.col("start") == F.col("_start"), F.col("end") == F.col("_end")]
@@ -408,7 +412,7 @@ def train(cand: DataFrame, sample: int = SAMPLE) -> dict[str, np.ndarray]:
             continue
         wanted = F.broadcast(spark.createDataFrame(share, "votes string, share double"))  # a row a pattern
         taken = cand.filter(F.col("kind") == kind).join(wanted, "votes").filter(F.pmod(F.xxhash64("doc", "start", "end"), F.lit(1 << 30)) < F.col("share") * (1 << 30)).select("votes", "slots").collect()
-        got = sorted((r.votes, list(r.slots)) for r in taken)
+        got = sorted((r.votes, np.frombuffer(r.slots, "<u2").tolist()) for r in taken)
         if got:
             met = Counter(v for v, _ in got)
             n = dict(own)
@@ -423,11 +427,13 @@ def spans(docs: DataFrame, doc: str = "doc_id", text: str = "text", given: DataF
     fields = {f.name: f.dataType.simpleString() for f in cand.schema.fields}
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        keep = []
-        for k, v, slots in zip(pdf["kind"], pdf["votes"], pdf["slots"], strict=True):
-            w = weights[k]
-            keep.append(w[-1] + sum(w[i] for i in _columns(v)) + sum(w[i] for i in slots) >= 0)
-        return pdf.loc[keep, ["doc", "kind", "start", "end", "run"]]
+        slots = np.frombuffer(b"".join(pdf["slots"]), "<u2").reshape(len(pdf), WIDTH)
+        score = np.zeros(len(pdf))
+        for k, w in weights.items():
+            own = (pdf["kind"] == k).to_numpy()
+            said = {v: w[-1] + sum(w[i] for i in _columns(v)) for v in pdf.loc[own, "votes"].unique()}
+            score[own] = w[slots[own]].sum(1) + pdf.loc[own, "votes"].map(said).to_numpy(float)
+        return pdf.loc[(score >= 0) & pdf["kind"].isin(list(weights)), ["doc", "kind", "start", "end", "run"]]
 
     taken = map_rows(cand, fn, f"doc {fields['doc']}, kind string, start int, end int, run int")
     # of a run read with and without its first or last word the longest reading that stands
