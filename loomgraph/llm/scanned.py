@@ -5,7 +5,8 @@
 2. Running heads and page numbers are found at page edges: lines are compared by a skeleton in
    which characters that scanners confuse fall together (``rn``/``m``, ``cl``/``d``, ``e``/``c``,
    ``1``/``l`` ...), so a misread title repeats as itself. A title repeats within its file, at page
-   edges, or carries the file's name or two of its section headings.
+   edges, or carries the file's name or two of its section headings; a line at a page edge that
+   is a title but for one word, at most two letters off, is that title.
 3. The corpus vocabulary (words of files that are not scanned, all of them counted) decides the
    rest: a word broken at a line's end is joined if the vocabulary knows it whole rather than with
    a hyphen; a word it does not know is misread if its skeleton is that of a word it knows.
@@ -71,7 +72,8 @@ def scanned_files(chunks: DataFrame) -> DataFrame:
     t = F.col("text")
     per = _base(chunks).select(
         "doc", "filename",
-        t.rlike(r"(?:^|\n)[^\n]{%d}" % (LONG_LINE + 1)).cast("int").alias("long"),
+        # the first and the last line of a page may be a long running head
+        (t.rlike(r"\n[^\n]{%d,}\n" % (LONG_LINE + 1)) | ~t.rlike(r"\n[^\n]*\n[^\n]*\n") & t.rlike(r"(?:^|\n)[^\n]{%d}" % (LONG_LINE + 1))).cast("int").alias("long"),
         F.regexp_count(t, F.lit(r"\n(?<=\S[ \t\r]{0,4}\n)[ \t]*+\S")).alias("breaks"),
         F.regexp_count(t, F.lit(r"\n(?<=[\p{L}\p{N},\-­¬][ \t\r]{0,4}\n)[ \t]*+\S")).alias("wraps"),
     )
@@ -84,9 +86,9 @@ _TITLE_START, _TITLE_END, _LETTER = re.compile(r"[\s\d|]*[^a-z\s]"), re.compile(
 
 
 def _title_lines(pages: DataFrame) -> DataFrame:
-    """(doc, stem, size, chunk_id, skel, edge) of lines that might be titles: no small letter in front, no stop at the end.
+    """(doc, stem, size, chunk_id, line_no, skel, edge, like) of lines without a small letter in front.
 
-    ``edge``: the line is the first or last of its page, or a page number is next to it.
+    ``like``: it may be a title, with no stop at the end; ``edge``: the line is the first or last of its page, or a page number is next to it.
     """
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -94,21 +96,22 @@ def _title_lines(pages: DataFrame) -> DataFrame:
         for doc, stem, size, chunk, text in zip(pdf["doc"], pdf["stem"], pdf["size"], pdf["chunk_id"], pdf["text"], strict=True):
             lines = text.split("\n")
             for i, line in enumerate(lines):
-                if len(line) > 140 or not _TITLE_START.match(line) or _TITLE_END.search(line) or not _LETTER.search(line) or _PAGE_RE.match(line):
+                bare = line.strip()
+                if not bare or "a" <= bare[0] <= "z" or _PAGE_RE.match(line):
                     continue
+                like = bool(_TITLE_START.match(line) and not _TITLE_END.search(line) and _LETTER.search(line))
                 core = " ".join(_AFFIX_RE.sub("", line).split())
-                if 4 <= len(core) <= 120:
+                if core:
                     edge = i == 0 or i == len(lines) - 1 or bool(_PAGE_RE.match(lines[i - 1])) or bool(_PAGE_RE.match(lines[i + 1]))
-                    out.append((doc, stem, size, chunk, skeleton_of(core), edge))
-        return pd.DataFrame(out, columns=["doc", "stem", "size", "chunk_id", "skel", "edge"])
+                    out.append((doc, stem, size, chunk, i + 1, skeleton_of(core), edge, like))
+        return pd.DataFrame(out, columns=["doc", "stem", "size", "chunk_id", "line_no", "skel", "edge", "like"])
 
-    return map_rows(pages.select("doc", "stem", "size", "chunk_id", "text"), fn, "doc string, stem string, size bigint, chunk_id string, skel string, edge boolean")
+    return map_rows(pages.select("doc", "stem", "size", "chunk_id", "text"), fn, "doc string, stem string, size bigint, chunk_id string, line_no int, skel string, edge boolean, like boolean")
 
 
-def _titles(pages: DataFrame, chunks: DataFrame) -> DataFrame:
+def _titles(at: DataFrame, chunks: DataFrame) -> DataFrame:
     """(doc, skel) of running titles."""
-    at = _title_lines(pages)
-    g = at.groupBy("doc", "stem", "size", "skel", "chunk_id").agg(F.max("edge").alias("edge"))
+    g = at.filter("like").groupBy("doc", "stem", "size", "skel", "chunk_id").agg(F.max("edge").alias("edge"))
     g = materialize(g.groupBy("doc", "stem", "size", "skel").agg(F.count("*").alias("n"), F.max("edge").alias("edge")), "titlelines")
     named = (F.length("stem") > 5) & F.col("skel").startswith(skeleton(F.col("stem")))
     sure = ((F.col("n") >= MIN_REPEATS) & (F.col("n") >= F.col("size") * MIN_REPEAT_SHARE) & F.col("edge")) | named
@@ -120,7 +123,17 @@ def _titles(pages: DataFrame, chunks: DataFrame) -> DataFrame:
     cut = rest.select("doc", "skel", parts.alias("p"), F.explode(F.sequence(F.lit(1), F.size(parts) - 1)).alias("i"))
     cut = cut.select("doc", "skel", F.array_join(F.slice("p", 1, F.col("i")), skeleton_of(" and ")).alias("left"), F.array_join(F.slice("p", F.col("i") + 1, F.size("p") - F.col("i")), skeleton_of(" and ")).alias("right"))
     pair = cut.join(heads.withColumnRenamed("h", "left"), "left", "left_semi").join(heads.withColumnRenamed("h", "right"), "right", "left_semi")
-    return g.filter(sure).select("doc", "skel").unionByName(pair.select("doc", "skel")).distinct()
+    titles = materialize(g.filter(sure).select("doc", "skel").unionByName(pair.select("doc", "skel")).distinct(), "suretitles")
+    return titles.unionByName(_near(g.filter("edge").select("doc", "skel").join(titles, ["doc", "skel"], "left_anti"), titles)).distinct()
+
+
+def _near(lines: DataFrame, titles: DataFrame) -> DataFrame:
+    """Those of ``lines`` that are a title of their file but for one word and at most two letters: both are keyed by all words but one."""
+    words = F.split("skel", " ")
+    less = F.transform(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.struct(i.alias("i"), F.concat_ws(" ", F.filter(words, lambda w, j: j != i)).alias("key")))
+    keyed = lambda d: d.filter((F.size(words) > 2) & (F.length("skel") > 11)).select("doc", "skel", F.inline(less))
+    j = keyed(lines).join(keyed(titles).withColumnRenamed("skel", "title"), ["doc", "i", "key"])
+    return j.filter("levenshtein(skel, title) <= 2").select("doc", "skel").distinct()
 
 
 def words(texts: DataFrame) -> DataFrame:
@@ -129,12 +142,12 @@ def words(texts: DataFrame) -> DataFrame:
 
 
 def _structure(pages: DataFrame) -> DataFrame:
-    """Events of each page by its own lines and its file's titles: header, pagenum, break, spread."""
+    """Events of each page by its own lines and those that are titles: header, pagenum, break, spread."""
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for chunk, page, text, titles in zip(pdf["chunk_id"], pdf["page_num"], pdf["text"], pdf["titles"], strict=True):
-            titles = set() if titles is None else set(titles)
+        for chunk, page, text, heads in zip(pdf["chunk_id"], pdf["page_num"], pdf["text"], pdf["heads"], strict=True):
+            heads = set() if heads is None else set(heads)
             broken = None
             lines = text.split("\n")
             spread = bool(_SPREAD.search(text))
@@ -142,12 +155,12 @@ def _structure(pages: DataFrame) -> DataFrame:
                 bare = line.strip()
                 if not bare:
                     continue
-                if len(line) < 24 and (m := _PAGE_RE.match(line)):
+                if _PAGE_RE.match(line):
                     edge = i == 0 or i == len(lines) - 1
                     if not bare.isdigit() or edge or pd.isna(page) or abs(int(bare) - page) <= 1:
                         out.append((chunk, i + 1, "pagenum", None, None, None, None))
                         continue
-                if len(line) < 140 and not "a" <= bare[0] <= "z" and skeleton_of(" ".join(_AFFIX_RE.sub("", line).split())) in titles:
+                if i + 1 in heads:
                     out.append((chunk, i + 1, "header", None, None, None, None))
                     continue
                 if broken:
@@ -162,7 +175,7 @@ def _structure(pages: DataFrame) -> DataFrame:
                 out.append((chunk, broken[0], "break", broken[1], None, None, broken[2]))
         return pd.DataFrame(out, columns=["chunk_id", "line_no", "kind", "w1", "w2", "next_no", "mark"])
 
-    return map_rows(pages.select("chunk_id", "page_num", "text", "titles"), fn, "chunk_id string, line_no int, kind string, w1 string, w2 string, next_no int, mark string")
+    return map_rows(pages.select("chunk_id", "page_num", "text", "heads"), fn, "chunk_id string, line_no int, kind string, w1 string, w2 string, next_no int, mark string")
 
 
 def _plan(chunks: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -171,8 +184,11 @@ def _plan(chunks: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     base = _base(chunks)
     few = broadcast_if_small(files, BROADCAST_ROWS)
     pages = base.join(few, "doc").select("doc", "stem", "size", "chunk_id", "page_num", "text").distinct()
-    titles = materialize(_titles(pages, chunks), "titles").groupBy("doc").agg(F.collect_set("skel").alias("titles"))
-    pages = materialize(pages.join(titles, "doc", "left"), "pages")
+    at = materialize(_title_lines(pages), "lines")
+    titles = materialize(_titles(at, chunks), "titles")
+    # titles are looked up and lines named by number, so no page carries its file's titles
+    heads = at.join(broadcast_if_small(titles, BROADCAST_ROWS), ["doc", "skel"], "left_semi").groupBy("chunk_id").agg(F.collect_set("line_no").alias("heads"))
+    pages = materialize(pages.join(heads, "chunk_id", "left"), "pages")
     vocabulary = materialize(words(base.join(few, "doc", "left_anti").select("text")), "vocabulary")
     known = materialize(vocabulary.groupBy(skeleton(F.col("word")).alias("skel")).agg(F.max_by("word", F.struct("n", "word")).alias("fix"), F.max("n").alias("n")), "known")
     odd = words(pages.select("text")).select("word").join(vocabulary.select("word"), "word", "left_anti").withColumn("skel", skeleton(F.col("word")))

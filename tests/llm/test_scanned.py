@@ -80,3 +80,13 @@ def test_repair_keeps_all_else(spark):
     out = [(r.chunk_id, r.text) for r in S.repair(spark.createDataFrame(rows, SCHEMA)).collect()]
     assert len(out) == len({(r[0], r[5]) for r in rows})
     assert {("n", None), ("e", ""), (None, "x")} <= set(out) and {(r[0], r[5]) for r in clean()} <= set(out)
+
+
+def test_long_and_misprinted_titles(spark):
+    """No length keeps a running head in the text, nor does a letter too many or too few in one word."""
+    head = "Annual Review of the " + "Upper and Lower Marsh Drainage " * 6 + "District"
+    rows = [page(i, [head, *BODY, f"- {i} -"]) for i in range(1, 9)]
+    rows[3] = page(4, [head.replace("Annual", "Anual"), *BODY, "- 4 -"])
+    rows[4] = page(5, [head.replace("District", "Districtx"), *BODY, "- 5 -"])
+    got = found(spark, clean() + rows)
+    assert len(head) > 200 and {(c, n) for c, n, k in got if k == "header"} == {(f"p{i}", 1) for i in range(1, 9)}
