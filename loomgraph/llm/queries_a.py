@@ -25,11 +25,25 @@ def p1_clean(spark: SparkSession, d: str) -> DataFrame:
     return repeated_lines.without_lines(docs.distinct(), state.removable()).select("chunk_id", "text")
 
 
-def p1_incremental(spark: SparkSession, d: str) -> DataFrame:
-    """Rows of before and since 2023 as two batches; documents that the second makes one rebuild, by source."""
+def _batches(spark: SparkSession, d: str) -> list[DataFrame]:
+    """Rows of before 2021, of 2021 and 2022, and of after, with those of no date in the first."""
     docs = _texts(spark, d).select("filename", "chunk_id", "text", "loaded_at")
-    first, _ = repeated_lines.update(None, docs.filter("loaded_at < '2023-01-01' or loaded_at is null"))
-    _, rebuild = repeated_lines.update(first, docs.filter("loaded_at >= '2023-01-01'"))
+    return [docs.filter(c) for c in ("loaded_at < '2021-01-01' or loaded_at is null", "loaded_at >= '2021-01-01' and loaded_at < '2023-01-01'", "loaded_at >= '2023-01-01'")]
+
+
+def p1_incremental(spark: SparkSession, d: str) -> DataFrame:
+    """The lines of p1_found, but from three batches merged one after the other."""
+    state = None
+    for batch in _batches(spark, d):
+        state, _ = repeated_lines.update(state, batch)
+    return state.removable().select(F.col("doc").alias("chunk_id"), "line_no").distinct()
+
+
+def p1_rebuilt(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that the last of the three batches makes one rebuild, by source."""
+    first, second, third = _batches(spark, d)
+    state, _ = repeated_lines.update(None, first.unionByName(second))
+    _, rebuild = repeated_lines.update(state, third)
     return rebuild.groupBy(F.col("source").alias("filename")).agg(F.count("*").alias("rebuilt"))
 
 
@@ -62,7 +76,7 @@ def p8_clean(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumnRenamed("doc", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_clean, p1_incremental, p5_found, p5_sizes, p6_found, p6_pieces, p8_found, p8_clean)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_clean, p1_incremental, p1_rebuilt, p5_found, p5_sizes, p6_found, p6_pieces, p8_found, p8_clean)}
 
 _WS = r"[\s\x0b\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 _P1 = rf"""with t as (select distinct filename, chunk_id, text from chunks where content_type = 'text' and filename is not null and chunk_id is not null),
@@ -84,7 +98,8 @@ _P8 = r"""with grams as (select id, kind, array_to_string(w[i:i + 11], ' ') g fr
 SQL = {
     "p1_found": _P1 + " select distinct chunk_id, line_no from found",
     "p1_clean": _P1
-    + ", gone as (select chunk_id, list(distinct line_no) g from found group by 1) select distinct t.chunk_id, case when g is null then text else coalesce(array_to_string(list_filter(string_split(text, chr(10)), lambda x, i: not list_contains(g, i)), chr(10)), '') end as text from t left join gone using (chunk_id)",
+    + ", gone as (select chunk_id, list(distinct line_no) g from found group by 1), u as (select distinct filename, chunk_id, text from chunks where content_type = 'text') select distinct chunk_id, text from (select filename, u.chunk_id, case when g is null then text else coalesce(array_to_string(list_filter(string_split(text, chr(10)), lambda x, i: not list_contains(g, i)), chr(10)), '') end as text from u left join gone using (chunk_id))",
+    "p1_incremental": _P1 + " select distinct chunk_id, line_no from found",
     "p5_found": _P5 + " select map_id, group_id from g",
     "p5_sizes": _P5 + ", c as (select group_id, count(*) n from g group by 1) select n as size, count(*) as groups from c group by 1",
     "p6_found": "select distinct chunk_id from chunks where content_type = 'text' and length(text) > 1500",

@@ -1,5 +1,8 @@
 """Lines repeated across the documents of one source, counted incrementally.
 
+Only sources that a batch touches are counted again and compared; the state of all others passes
+through unread but for the filter on the source (a saved state is laid out by source).
+
 State: ``lines`` (documents per source and line), ``sources`` (documents per source) and
 ``occurrences`` (where each countable line stands). ``update`` merges a batch as a delta: its
 own counts are added to the tables, the lines whose status changed (crossed the threshold, or
@@ -63,7 +66,7 @@ class LineState:
     def save(self, path: str) -> None:
         """Each call needs a new folder: a table cannot be overwritten while it is read."""
         for name in ("lines", "sources", "occurrences", "docs"):
-            getattr(self, name).write.parquet(f"{path}/{name}")
+            getattr(self, name).sortWithinPartitions("source").write.parquet(f"{path}/{name}")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> LineState:
@@ -83,6 +86,11 @@ def _sum(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     return a.unionByName(b).groupBy(*keys).agg(F.sum("n").alias("n"))
 
 
+def _split(table: DataFrame, touched: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of the sources touched, and the others."""
+    return table.join(touched, "source", "left_semi"), table.join(touched, "source", "left_anti")
+
+
 def update(state: LineState | None, docs: DataFrame, source: str = "filename", doc: str = "chunk_id", text: str = "text", min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE) -> tuple[LineState, DataFrame]:
     """The state after the batch, and the (source, doc) to rebuild because a line of theirs changed status."""
     spark = docs.sparkSession
@@ -98,12 +106,17 @@ def update(state: LineState | None, docs: DataFrame, source: str = "filename", d
     if state is None:
         new = LineState(delta, grown, occ, names)
         return new, new.removable(min_docs, min_share).select("source", "doc").distinct()
-    new = LineState(_sum(state.lines, delta, LINE), _sum(state.sources, grown, ["source"]), state.occurrences.unionByName(occ), state.docs.unionByName(names))
-    before, after = state.excessive(min_docs, min_share), new.excessive(min_docs, min_share)
+    touched = broadcast_if_small(materialize(grown.select("source"), "touched"), BROADCAST_ROWS)
+    lines, other_lines = _split(state.lines, touched)
+    sources, other_sources = _split(state.sources, touched)
+    old = LineState(lines, sources, *(_split(t, touched)[0] for t in (state.occurrences, state.docs)))
+    mine = LineState(materialize(_sum(lines, delta, LINE), "lines"), _sum(sources, grown, ["source"]), old.occurrences.unionByName(occ), old.docs.unionByName(names))
+    new = LineState(mine.lines.unionByName(other_lines), mine.sources.unionByName(other_sources), state.occurrences.unionByName(occ), state.docs.unionByName(names))
+    before, after = materialize(old.excessive(min_docs, min_share), "before"), materialize(mine.excessive(min_docs, min_share), "after")
     changed = before.join(after, LINE, "left_anti").unionByName(after.join(before, LINE, "left_anti"))
     # lines already excessive also go from the documents that just arrived
     fresh = occ.join(after, LINE, "left_semi").select("source", "doc")
-    rebuild = new.occurrences.join(changed, LINE, "left_semi").select("source", "doc").unionByName(fresh).distinct()
+    rebuild = mine.occurrences.join(changed, LINE, "left_semi").select("source", "doc").unionByName(fresh).distinct()
     return new, rebuild
 
 

@@ -1,8 +1,9 @@
 """Oversized texts cut into pieces at natural boundaries.
 
 A text is parsed into a tree of spans: headed sections by level, blocks between blank lines
-(fenced code and tables whole), list items and lines, sentences, words. Sibling spans are
-merged bottom-up as long as they fit, and only a node that is too large is descended into.
+(fenced code and tables whole), list items and lines, sentences, words. Whole siblings are
+merged as long as they fit, and only a node that is too large is descended into; what is left of
+it is not merged with the sibling behind it.
 The spans partition the text; every piece after the first also repeats up to ``overlap``
 characters before it, from a natural boundary on.
 
@@ -120,12 +121,16 @@ def spans(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[i
             head = _hard(text, start, end, room)
             return head
         merged: list[tuple[int, int]] = []
-        for kid in kids:
-            for s, e in pieces(*kid, below):
-                if merged and e - merged[-1][0] <= (limit if merged[-1][0] == 0 else room):
-                    merged[-1] = (merged[-1][0], e)
-                else:
-                    merged.append((s, e))
+        whole = False  # the last piece is a run of whole siblings
+        for s, e in kids:
+            if e - s > (limit if s == 0 else room):
+                merged += pieces(s, e, below)
+                whole = False
+            elif whole and e - merged[-1][0] <= (limit if merged[-1][0] == 0 else room):
+                merged[-1] = (merged[-1][0], e)
+            else:
+                merged.append((s, e))
+                whole = True
         return merged
 
     out = []

@@ -28,6 +28,24 @@ def test_cuts_at_headings_and_sentences():
         assert o < s and text[o - 1].isspace()
 
 
+def test_no_piece_spans_two_oversized_sections():
+    text = "# One\n" + "Sentence one is here. " * 30 + "\n\n# Two\n" + "Another sentence stands. " * 30 + "\n\n# Three\nShort.\n\n# Four\nShort too.\n"
+    got = [text[s:e] for _, s, e in S.spans(text, 600, 60)]
+    assert not [p for p in got if "# Two" in p[1:]] and got[-1] == "# Three\nShort.\n\n# Four\nShort too.\n"
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(1, 400), min_size=1, max_size=12))
+def test_a_heading_inside_a_piece_begins_a_whole_section(sizes):
+    parts = [f"# H{i}\n" + "word " * (n // 5) + "\n" for i, n in enumerate(sizes)]
+    text = "".join(parts)
+    starts = [sum(map(len, parts[:i])) for i in range(len(parts) + 1)]
+    for _, s, e in S.spans(text, 200, 20):
+        inner = [x for x in starts if s < x < e]
+        if inner:
+            assert s in starts and e in starts
+
+
 def test_no_boundary_and_marks():
     assert [e - s for _, s, e in S.spans("x" * 3200)] == [1300, 1300, 600]
     text = "é" * 2000
