@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,3 +54,16 @@ def unflag(df: DataFrame, reason: str) -> DataFrame:
 
 def flagged_counts(df: DataFrame, kind: str) -> DataFrame:
     return df.groupBy(F.lit(kind).alias("kind"), "flagged").agg(F.count("*").alias("cnt"))
+
+
+def sample(df: DataFrame, keys: list[str], limit: int = 50) -> DataFrame:
+    """At most ``limit`` rows to look at, the first by ``keys``; 50 of marked nodes, 20 of new edges are usual."""
+    return df.orderBy(*keys).limit(limit)
+
+
+def run_script(tables: dict[str, DataFrame], steps: list[tuple[str, Callable[[dict[str, DataFrame]], DataFrame]]]) -> dict[str, DataFrame]:
+    """Applies steps (name of a table, its new state from all tables) one after the other."""
+    now = dict(tables)
+    for name, step in steps:
+        now[name] = step(now)
+    return now

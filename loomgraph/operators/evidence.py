@@ -7,6 +7,7 @@ from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 #: Fixed: column names of results and the node types they stand for.
 NODE_COLUMNS = {"initiative": "Initiative", "division": "Division", "division_a": "Division", "division_b": "Division", "topic_a": "Topic", "topic_b": "Topic", "topic": "Topic", "issue": "Issue"}
@@ -60,7 +61,7 @@ def envelope(query_id: str, params: dict, rows: DataFrame, documents: DataFrame,
 
 
 def route(question: str) -> tuple[str, str]:
-    """(intent, query id) by the first rule whose words stand in the question."""
+    """(intent, query id) by the first rule whose words stand in the question. The words and ids are fixed values."""
     q = question.lower()
     for words, intent, query in (
         (("cross", "across division", "multi-division", "between division"), "cross-division", "cross_division_initiatives"),
@@ -112,3 +113,46 @@ def insights(sections: list[tuple[str, DataFrame]], limit: int = 20) -> str:
         out += ["| " + " | ".join(df.columns) + " |", "|" + " --- |" * len(df.columns)]
         out += ["| " + " | ".join(", ".join(map(str, v)) if isinstance(v, list) else str(v) for v in r) + " |" for r in rows] + [""]
     return "\n".join(out)
+
+
+# ---- shapes for showing ----------------------------------------------------------------------------
+def as_list(rows: DataFrame, label: str, score: str, *order: str) -> DataFrame:
+    """(rank, line) in the order given: ``1. label (score)``."""
+    w = Window.orderBy(*[F.col(c) for c in order] or [F.col(score).desc(), F.col(label)])  # rows of a result for a reader, with a limit behind them
+    return rows.withColumn("rank", F.row_number().over(w)).select("rank", F.concat_ws("", F.col("rank").cast("string"), F.lit(". "), F.col(label).cast("string"), F.lit(" ("), F.col(score).cast("string"), F.lit(")")).alias("line"))
+
+
+def as_graph(rows: DataFrame, source: str = "topic_a", target: str = "topic_b", weight: str = "count") -> tuple[DataFrame, DataFrame]:
+    """Nodes (id, label) and edges (source, target, label) of rows with both ends."""
+    end = lambda c: F.trim(F.col(c).cast("string"))
+    e = rows.select(end(source).alias("source"), end(target).alias("target"), F.coalesce(F.col(weight).cast("string"), F.lit("")).alias("label")).filter("source <> '' and target <> ''")
+    return e.select(F.explode(F.array("source", "target")).alias("id")).distinct().select("id", F.col("id").alias("label")), e
+
+
+def as_timeline(rows: DataFrame, x: str = "year", y: str = "doc_count", series: str | None = "division") -> DataFrame:
+    """(series, x, y, step): points of each series in order; one series '' where there is none."""
+    s = F.coalesce(F.col(series).cast("string"), F.lit("")) if series and series in rows.columns else F.lit("")
+    p = rows.select(s.alias("series"), F.col(x).cast("string").alias("x"), F.col(y).cast("double").alias("y"))
+    return p.withColumn("step", F.row_number().over(Window.partitionBy("series").orderBy("x", "y")))
+
+
+def chat_evidence(rows: DataFrame, limit: int = 10) -> DataFrame:
+    """(evidence, location) of the first rows with evidence; the columns may bear a prefix ``r.``."""
+    pick = lambda c: F.col(c) if c in rows.columns else F.col(f"`r.{c}`") if f"r.{c}" in rows.columns else F.lit(None).cast("string")
+    said = rows.select(pick("evidence").cast("string").alias("evidence"), pick("source_doc").cast("string").alias("doc"), pick("source_page").cast("string").alias("page")).filter("trim(evidence) <> ''")
+    return said.select("evidence", F.when(F.coalesce(F.col("doc"), F.lit("")) != "", F.concat(F.col("doc"), F.lit(" p."), F.coalesce("page", F.lit("")))).otherwise("").alias("location")).limit(limit)
+
+
+def highlight(edges: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Adds ``highlighted``: the edge (source, target) is one of ``pairs`` in either direction."""
+    p = pairs.select(F.col("source").alias("_s"), F.col("target").alias("_t"))
+    both = p.unionByName(p.select(F.col("_t").alias("_s"), F.col("_s").alias("_t"))).distinct().withColumn("_hit", F.lit(True))
+    return edges.join(both, (F.col("source") == F.col("_s")) & (F.col("target") == F.col("_t")), "left").withColumn("highlighted", F.coalesce("_hit", F.lit(False))).drop("_s", "_t", "_hit")
+
+
+def orphan_text(names: int, chunks: DataFrame, top: int = 10) -> str:
+    """The report on chunks with names that have no relation (orphan_entities, original_triple_count, filename)."""
+    n = chunks.agg(F.count("*").alias("n"), F.count_if(F.col("original_triple_count") == 0).alias("zero")).first()
+    best = chunks.groupBy("filename").agg(F.sum(F.size("orphan_entities")).alias("k")).orderBy(F.desc("k"), F.col("filename").asc_nulls_last()).limit(top).collect()
+    rule = "=" * 60
+    return "\n".join(["Chunks with unconnected names", rule, f"  names without a relation: {names}", f"  chunks that hold one:     {n.n}", f"    without any triple:     {n.zero}", f"    with some triples:      {n.n - n.zero}", "", f"First {top} files:", *[f"  {r.k:>5}  {r.filename}" for r in best], rule])

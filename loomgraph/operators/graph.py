@@ -166,6 +166,15 @@ def expand(g: Graph, seeds: DataFrame, depth: int = 2) -> tuple[DataFrame, DataF
     return g.entities.join(near, "id", "left_semi"), found.distinct()
 
 
+def one_row(nodes: DataFrame, edges: DataFrame, label: str = "type") -> DataFrame:
+    """One row (nodes, relationships) of an expanded neighbourhood, for a reader; it holds all of both, so it is for what a screen shows."""
+    props = [c for c in nodes.columns if c not in ("id", label)]
+    n = nodes.agg(F.sort_array(F.collect_list(F.struct(F.col("id").cast("string").alias("element_id"), F.array(label).alias("labels"), F.to_json(F.struct(*props)).alias("props")))).alias("nodes"))
+    more = [c for c in edges.columns if c not in ("src", "rel", "dst")]
+    r = edges.agg(F.sort_array(F.collect_list(F.struct(F.col("rel").alias("type"), F.col("src").cast("string").alias("start"), F.col("dst").cast("string").alias("end"), (F.to_json(F.struct(*more)) if more else F.lit("{}")).alias("props")))).alias("relationships"))
+    return n.withColumn("_k", F.lit(1)).join(r.withColumn("_k", F.lit(1)), "_k").drop("_k")  # one row on either side
+
+
 def merge_duplicates(g: Graph, mapping: DataFrame) -> Graph:
     """Nodes ``dup`` of ``mapping`` (dup, canonical) give their edges and aliases to ``canonical``; loops that arise stay."""
     m = mapping.select("dup", "canonical")

@@ -292,6 +292,9 @@ _C = "with c as (select distinct * from chunks) "
 SQL = {
     "sentences": f"select doc_id, cast(generate_subscripts(s, 1) - 1 as int) as n, unnest(s) as sentence from (select doc_id, {_SENT.format('text')} s from documents)",
     "paragraphs": f"select doc_id, cast(generate_subscripts(s, 1) - 1 as int) as n, unnest(s) as paragraph from (select doc_id, {_PARAS} s from documents)",
+    "sections": rf"""with c as (select distinct chunk_id, text from chunks where content_type = 'text' and text is not null), p as (select chunk_id, string_split(regexp_replace(text, '(?m)^(#{{1,6}})\s+(.+)', chr(1) || '\2' || chr(2), 'g'), chr(1)) p from c),
+      e as (select chunk_id, generate_subscripts(p, 1) - 1 n, unnest(p) x from p) select chunk_id, cast(n as int) as n, case when n = 0 then '' else trim(split_part(x, chr(2), 1)) end as heading,
+      length({_STRIP.replace('(x,', "(case when n = 0 then x else substr(x, strpos(x, chr(2)) + 1) end,")}) as body_length from e""",
     "overlap_prefix": f"select doc_id, n, prefix from (select doc_id, cast(generate_subscripts(s, 1) - 1 as int) n, unnest(list_transform(s, lambda x, i: case when i > 1 then array_to_string(({_SENT.format('s[i - 1]')})[-2:], ' ') end)) prefix from (select doc_id, {_PARAS} s from documents)) where n > 0",
     "table_markdown": _C
     + """, r as (select chunk_id, list_transform(raw_table, lambda r: list_transform(r, lambda x: trim(coalesce(x, '')))) t from c where content_type = 'table'), w as (select chunk_id, t, len(t[1]) w from r)
@@ -322,12 +325,12 @@ SQL = {
     "canonical_election": _RES + "select type, root, canonical_name, canonical_id from el",
     "canonical_map": _RES + "select surface, canonical_id, canonical_name, type from cm",
     "resolution_summary": _RES + "select count(*) as surfaces, count(distinct canonical_id) as entities, count(*) - count(distinct canonical_id) as merged from cm",
-    "known_entities": """with cm as (select surface, canonical_id, canonical_name, type from (select *, row_number() over (partition by surface order by map_id) n from canonical_map where surface is not null) where n = 1),
-      o as (select canonical_name || ' (' || type || ')' x from (select *, row_number() over (partition by canonical_id order by surface) n from cm where canonical_id is not null and canonical_name is not null and type = 'Regulation') where n = 1) select coalesce(array_to_string(list_sort(list(x)), chr(10)), '') as hint from o""",
+    "known_entities": """select canonical_id, canonical_name || coalesce(' (' || type || ')', '') as entity from (select *, row_number() over (partition by canonical_id order by surface nulls first, canonical_name, type is null, type nulls first) n
+      from canonical_map where canonical_id is not null and canonical_name is not null) where n = 1""",
     "incremental_skip": "select distinct chunk_id, filename from chunks where chunk_id not in (select chunk_id from extractions where chunk_id is not null)",
     "orphan_chunks": _ORPH + "select chunk_id, doc_id, filename, array_to_string(names, '|') as orphan_entities, original_triple_count, text from of",
     "orphan_report": _ORPH + "select filename, cast(sum(len(names)) as bigint) as orphans, count(*) filter (where original_triple_count = 0) as without_triples, count(*) filter (where original_triple_count > 0) as with_triples from of group by 1 order by orphans desc, filename nulls last limit 10",
-    "usable_chunks": _ORPH + "select chunk_id, cast(length(text) as int) as n_chars from of where length(text) > 50 order by chunk_id limit 20",
+    "usable_chunks": _ORPH + "select chunk_id, cast(length(text) as int) as n_chars from of where length(text) > 50",
     "reextraction_accepted": rf"with t as (select distinct * from validated_triples) select predicate, count(*) as cnt from t where confidence >= 0.6 and predicate in ({_PREDS}) and length(subject) >= 4 and length(object) >= 4 and regexp_matches(subject, '^\p{{Lu}}') and regexp_matches(object, '^\p{{Lu}}') and subject_type in ({_TYPES}) and object_type in ({_TYPES}) group by 1",
     "review_status": """with q as (select user_id, event_id, event_id % 3 k from events), p as (select distinct user_id from q where k = 0), l as (select user_id, arg_max(k, event_id) k from q where k > 0 group by 1)
       select case when k is null then 'PENDING' when k = 1 then 'APPROVED' else 'REJECTED' end as status, case when k is not null then 'unknown' end as reviewer, count(*) as cnt from p left join l using (user_id) group by 1, 2""",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomgraph.operators import references as R
-from loomgraph.session import table
+from loomgraph.session import materialize, table
 
 FIELDS = [
     ("agency_doc_initiatives", "doc_ref", "link_id", "agency_documents", "doc_ref"),
@@ -41,11 +41,45 @@ def p3_pending(spark: SparkSession, d: str) -> DataFrame:
     return state.pending.groupBy("ref_table", "ref_field").agg(F.count("*").alias("waiting"))
 
 
+def _kept(state: R.OrphanState) -> R.OrphanState:
+    """The state as written tables, as between two runs."""
+    return R.OrphanState(materialize(state.parents, "parents"), materialize(state.refs, "refs"), materialize(state.pending, "pending"))
+
+
+#: Times at which the batches of p3_incremental end; what has no time comes with the first.
+CUTS = ("2021-06-01", "2023-01-01")
+
+
+def p3_incremental(spark: SparkSession, d: str) -> DataFrame:
+    """The orphans of p3_found from three batches, by the time at which references and parents were loaded."""
+    refs, par = _inputs(spark, d)
+    state, found = R.OrphanState.empty(spark), None
+    for i in range(len(CUTS) + 1):
+        when = lambda c: (F.lit(True) if i == 0 else F.col(c) >= CUTS[i - 1]) & (F.lit(True) if i == len(CUTS) else F.col(c) < CUTS[i]) | (F.col(c).isNull() if i == 0 else F.lit(False))  # noqa: E731, B023
+        step = R.advance(state, refs.filter(when("t")), par.filter(when("loaded_at")))
+        orphans = materialize(step.orphans.select("ref_table", "ref_field", "ref_key"), "orphans")
+        found = orphans if found is None else found.unionByName(orphans)
+        state = _kept(step.state)
+    return found.distinct()
+
+
+def p3_reopened(spark: SparkSession, d: str) -> DataFrame:
+    """What waits after references came first, their parents later and the deletions last, with what each batch resolved or reopened."""
+    refs, par = _inputs(spark, d)
+    first = R.advance(R.OrphanState.empty(spark), refs, par.limit(0))
+    second = R.advance(_kept(first.state), refs.limit(0), par.withColumn("deleted_at", F.lit(None).cast("timestamp_ntz")))
+    third = R.advance(_kept(second.state), refs.limit(0), par.filter("deleted_at is not null"))
+    part = lambda df, name: df.groupBy("ref_table", "ref_field").agg(F.count("*").alias(name))
+    keys = ["ref_table", "ref_field"]
+    out = part(refs.distinct(), "references").join(part(second.resolved, "resolved"), keys, "left").join(part(third.reopened, "reopened"), keys, "left").join(part(third.state.pending, "waiting"), keys, "left")
+    return out.select(*keys, *[F.coalesce(c, F.lit(0)).alias(c) for c in ("references", "resolved", "reopened", "waiting")])
+
+
 def p3_snapshots(spark: SparkSession, d: str) -> DataFrame:
     return R.pending_snapshots(*_inputs(spark, d))
 
 
-QUERIES = {"p3_found": p3_found, "p3_report": p3_report, "p3_pending": p3_pending, "p3_snapshots": p3_snapshots}
+QUERIES = {"p3_found": p3_found, "p3_report": p3_report, "p3_pending": p3_pending, "p3_snapshots": p3_snapshots, "p3_incremental": p3_incremental, "p3_reopened": p3_reopened}
 
 _KEY = r"regexp_replace(lower({}), '^[\s\x0b\x{{85}}\x{{a0}}]+|[\s\x0b\x{{85}}\x{{a0}}]+$', '', 'g')"
 _REFS = " union all ".join(
@@ -58,6 +92,10 @@ _ORPHANS = (
 )
 SQL = {
     "p3_found": _ORPHANS + " select distinct ref_table, ref_field, ref_key from orphans",
+    "p3_incremental": _ORPHANS + " select distinct ref_table, ref_field, ref_key from orphans",
+    "p3_reopened": _WITH
+    + """h as (select r.*, exists (select 1 from par p where p.target = r.target and p.k = r.k) known, exists (select 1 from par p where p.target = r.target and p.k = r.k and p.deleted_at is null) held from refs r)
+    select ref_table, ref_field, count(*) as "references", count(*) filter (where known) as resolved, count(*) filter (where known and not held) as reopened, count(*) filter (where not held) as waiting from h group by all""",
     "p3_report": _ORPHANS + " select ref_table, ref_field, strftime(t, '%Y-%m') as month, count(*) as orphans from orphans group by all",
     "p3_pending": _WITH
     + "open as (select * from refs r where not exists (select 1 from par p where p.target = r.target and p.k = r.k and p.deleted_at is null)) select ref_table, ref_field, count(*) as waiting from open group by all",

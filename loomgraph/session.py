@@ -1,7 +1,7 @@
 """Sessions, shared storage and lineage cuts.
 
 Intermediate tables go to the folder the cluster names in ``spark.checkpoint.dir``.
-Only a session without that setting (a local test) gets a folder of its own.
+Only a local session without that setting (a test) gets a folder of its own; on a cluster its absence is an error.
 """
 
 from __future__ import annotations
@@ -41,6 +41,8 @@ def shared_dir(spark: SparkSession) -> str:
         sc = spark.sparkContext
         named = sc.getCheckpointDir()
         if not named:
+            if not sc.master.startswith(("local[", "local-cluster")) and sc.master != "local":
+                raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
             sc.setCheckpointDir(tempfile.mkdtemp(prefix="loomgraph-"))
             named = sc.getCheckpointDir()
     return named.rstrip("/")

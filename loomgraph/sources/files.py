@@ -100,6 +100,26 @@ def write_lines(df: DataFrame, path: str, append: bool = False) -> None:
     df.write.mode("append" if append else "overwrite").json(path)
 
 
+MAP_ENTRY = "canonical_id string, canonical_name string, type string"
+
+
+def read_map(spark: SparkSession, path: str) -> DataFrame:
+    """(surface, canonical_id, canonical_name, type) of JSON files that hold one object, surface to entry."""
+    doc = spark.read.text(path, wholetext=True)
+    entries = F.from_json("value", f"map<string,struct<{', '.join(f.replace(' ', ':') for f in MAP_ENTRY.split(', '))}>>")
+    return doc.select(F.explode(entries).alias("surface", "e")).select("surface", "e.*")
+
+
+def write_map(cmap: DataFrame, path: str) -> None:
+    """JSON lines, one object of one surface a line; a map of any size is written in parts, and ``read_map_lines`` reads it back."""
+    cmap.select(F.to_json(F.map_from_arrays(F.array("surface"), F.array(F.struct("canonical_id", "canonical_name", "type")))).alias("value")).write.mode("overwrite").text(path)
+
+
+def read_map_lines(spark: SparkSession, path: str) -> DataFrame:
+    entries = F.from_json("value", f"map<string,struct<{', '.join(f.replace(' ', ':') for f in MAP_ENTRY.split(', '))}>>")
+    return spark.read.text(path).select(F.explode(entries).alias("surface", "e")).select("surface", "e.*")
+
+
 def triples_of(extractions: DataFrame) -> DataFrame:
     """Triples with the chunk they come from; confidence that is no number becomes null."""
     t = extractions.select("chunk_id", "doc_id", "filename", "page_num", "section_heading", F.posexplode("triples").alias("pos", "t"))
