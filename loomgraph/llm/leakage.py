@@ -40,53 +40,55 @@ class SuffixAutomaton:
         self.k = k
         self.ids: dict[str, int] = {}
         self.next: list[dict[int, int]] = [{}]
-        self.link, self.len, mask = [-1], [0], [0]
-        for n, item in enumerate(items):
+        self.link, self.len = [-1], [0]
+        for item in items:
             last = 0
             for w in item:
-                last = self._extend(last, self.ids.setdefault(w, len(self.ids)), mask)
-                mask[last] |= 1 << n
-        for s in sorted(range(1, len(self.len)), key=self.len.__getitem__, reverse=True):
-            if self.link[s] > 0:
-                mask[self.link[s]] |= mask[s]
-        # of each state: the items that hold the run of exactly k words that ends here
-        self.items = [0] * len(self.len)
+                last = self._extend(last, self.ids.setdefault(w, len(self.ids)))
+        # of each state: the one that stands for the run of exactly k words that ends there
+        self.top = [0] * len(self.len)
         for s in sorted(range(1, len(self.len)), key=self.len.__getitem__):
             if self.len[s] >= k:
-                self.items[s] = mask[s] if self.len[self.link[s]] < k else self.items[self.link[s]]
+                self.top[s] = s if self.len[self.link[s]] < k else self.top[self.link[s]]
+        # of those: the items that hold the run; no more entries than there are words
+        self.items: dict[int, list[int]] = {}
+        for n, item in enumerate(items):
+            for _, _, s in self.runs(item):
+                held = self.items.setdefault(s, [])
+                if not held or held[-1] != n:
+                    held.append(n)
 
-    def _state(self, length: int, link: int, edges: dict[int, int], mask: list[int]) -> int:
+    def _state(self, length: int, link: int, edges: dict[int, int]) -> int:
         self.len.append(length)
         self.link.append(link)
         self.next.append(edges)
-        mask.append(0)
         return len(self.len) - 1
 
-    def _clone(self, p: int, q: int, c: int, mask: list[int]) -> int:
-        new = self._state(self.len[p] + 1, self.link[q], dict(self.next[q]), mask)
+    def _clone(self, p: int, q: int, c: int) -> int:
+        new = self._state(self.len[p] + 1, self.link[q], dict(self.next[q]))
         while p != -1 and self.next[p].get(c) == q:
             self.next[p][c] = new
             p = self.link[p]
         self.link[q] = new
         return new
 
-    def _extend(self, last: int, c: int, mask: list[int]) -> int:
+    def _extend(self, last: int, c: int) -> int:
         if c in self.next[last]:
             q = self.next[last][c]
-            return q if self.len[q] == self.len[last] + 1 else self._clone(last, q, c, mask)
-        cur = self._state(self.len[last] + 1, 0, {}, mask)
+            return q if self.len[q] == self.len[last] + 1 else self._clone(last, q, c)
+        cur = self._state(self.len[last] + 1, 0, {})
         p = last
         while p != -1 and c not in self.next[p]:
             self.next[p][c] = cur
             p = self.link[p]
         if p != -1:
             q = self.next[p][c]
-            self.link[cur] = q if self.len[q] == self.len[p] + 1 else self._clone(p, q, c, mask)
+            self.link[cur] = q if self.len[q] == self.len[p] + 1 else self._clone(p, q, c)
         return cur
 
     def runs(self, tokens: list[str]) -> Iterator[tuple[int, int, int]]:
-        """(index of the last word, words matched, items) wherever a run of at least k words ends."""
-        ids, nxt, link, lens, items, k = self.ids.get, self.next, self.link, self.len, self.items, self.k
+        """(index of the last word, words matched, key of ``items``) wherever a run of at least k words ends."""
+        ids, nxt, link, lens, top, k = self.ids.get, self.next, self.link, self.len, self.top, self.k
         s = n = 0
         for i, w in enumerate(tokens):
             c = ids(w)
@@ -103,7 +105,7 @@ class SuffixAutomaton:
                 continue
             s, n = nxt[s][c], n + 1
             if n >= k:
-                yield i, n, items[s]
+                yield i, n, top[s]
 
 
 def item_blocks(items: DataFrame, key: str, text: str, block_words: int = BLOCK_WORDS) -> Iterator[tuple[list, list[list[str]]]]:
@@ -145,14 +147,12 @@ def leaks(docs: DataFrame, items: DataFrame, doc: str = "doc_id", text: str = "t
             if not t:
                 continue
             longest: dict[int, int] = {}
-            for _, n, mask in sam.runs(words(t)):
-                longest[mask] = max(n, longest.get(mask, 0))
+            for _, n, run in sam.runs(words(t)):
+                longest[run] = max(n, longest.get(run, 0))
             best: dict[int, int] = {}
-            for mask, n in longest.items():
-                while mask:
-                    low = mask & -mask
-                    best[low.bit_length() - 1] = max(n, best.get(low.bit_length() - 1, 0))
-                    mask ^= low
+            for run, n in longest.items():
+                for i in sam.items[run]:
+                    best[i] = max(n, best.get(i, 0))
             rows += [(d, keys[i], n) for i, n in best.items()]
         return pd.DataFrame(rows, columns=["doc", "item", "longest"])
 

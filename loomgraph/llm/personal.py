@@ -63,8 +63,11 @@ _ADDRESS = re.compile(rf"(?<![\w#/.,-])(?=\d|(?:{_UNITS})\b)(?P<unit>(?:{_UNITS}
 _TITLES = "Mr|Mrs|Ms|Miss|Mx|Dr|Prof|Mdm|Madam|Sir|Sr|Sra|Herr|Frau|Mme|Mlle"
 _CAP = r"[A-ZÀ-Þ][^\W\d_]*(?:['’-][A-ZÀ-Þ][^\W\d_]+)*"
 #: A run of capitalised words and initials on one line, a title anywhere in it, a comma behind a word in capitals.
-_RUN = re.compile(rf"(?<![\w@.'’/+-])(?:[A-ZÀ-Þ]{{2,}}(?:['’-][A-ZÀ-Þ]+)*, (?!(?:{_TITLES})\b))?(?:(?:{_TITLES})\. (?=[A-ZÀ-Þ])|[A-ZÀ-Þ]\.? ?(?=[A-ZÀ-Þ])|{_CAP} (?=[A-ZÀ-Þ]))*{_CAP}(?: [A-ZÀ-Þ]\.)?(?![\w@]|[-/]\w)")
+_STEP = rf"(?:(?:{_TITLES})\. (?=[A-ZÀ-Þ])|[A-ZÀ-Þ]\.? ?(?=[A-ZÀ-Þ])|{_CAP} (?=[A-ZÀ-Þ]))"
+_RUN = re.compile(rf"(?<![\w@.'’/+-])(?=[A-ZÀ-Þ])(?:[A-ZÀ-Þ]{{2,}}(?:['’-][A-ZÀ-Þ]+)*, (?!(?:{_TITLES})\b){_STEP}*|{_STEP}+){_CAP}(?: [A-ZÀ-Þ]\.)?(?![\w@]|[-/]\w)")
 _TITLED = re.compile(rf"(?<![\w@.'’/+-])(?:{_TITLES})\.? (?=[A-ZÀ-Þ])")
+_TITLE_WORDS = frozenset(_TITLES.split("|"))
+_LONG_NUMBER = re.compile(r"\d[\d ()/.-]{4,}\d")
 _PART = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*\.?,?")
 _LABELLED = re.compile(r"(?i)(?<!\w)(?:name|full name|nombre|nom)[ \t]*:[ \t]*(?P<name>[^\W\d_][^\W\d_'’.-]*,? (?:[^\W\d_]\.? )?[^\W\d_][^\W\d_'’-]*)")
 _AROUND = re.compile(r"[^\W\d_]+|\d+|[^\w\s]|\n")
@@ -215,7 +218,12 @@ def _persons(t: str, mails: list[str], blocked: list[tuple[int, int]]) -> Iterat
         s, e = m.span()
         if blocked and any(a < e and s < b for a, b in blocked):
             continue
-        if t.find(" ", s, e) < 0:
+        run = m[0]
+        if " " not in run:
+            continue
+        words = run.split(" ")
+        if not _BODY.isdisjoint(map(str.lower, words)) and _TITLE_WORDS.isdisjoint(w.rstrip(".") for w in words) and _FUNCTION.isdisjoint(map(str.lower, words)):
+            found.append((s, e, False, s, True))
             continue
         title, start = False, s
         for x in _TITLED.finditer(t, s, e):
@@ -264,12 +272,13 @@ def candidates_of(t: str) -> Iterator[tuple[str, int, int, int, str, list[str]]]
     for s, e, v in found:
         yield "email", s, e, s, v, []
     labelled = []
-    for s, e, v in _ids(t):
+    numbers = _LONG_NUMBER.search(t) is not None  # neither kind is shorter
+    for s, e, v in _ids(t) if numbers else ():
         if not inside(s, e, mails):
             if v[0] == "+":
                 labelled.append((s, e))
             yield "id_number", s, e, s, v, []
-    for s, e, v in _phones(t):
+    for s, e, v in _phones(t) if numbers else ():
         if not inside(s, e, mails) and not inside(s, e, labelled):
             yield "phone", s, e, s, v, []
     places = []

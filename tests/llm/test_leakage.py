@@ -17,10 +17,10 @@ def test_automaton_against_grams():
         for _ in range(30):
             doc = [r.choice("abcdef") for _ in range(60)]
             got = set()
-            for i, n, mask in sam.runs(doc):
+            for i, n, key in sam.runs(doc):
                 run = tuple(doc[i - n + 1 : i + 1])
                 assert n >= k and any(" ".join(run) in " ".join(x) for x in items)
-                got |= {j for j in range(8) if mask >> j & 1}
+                got |= set(sam.items[key])
             assert got == {j for j in range(8) if own[j] & {tuple(doc[i : i + k]) for i in range(len(doc) - k + 1)}}
 
 
