@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 
 from loomgraph.functions.text import year_of
 from loomgraph.operators.agency import Agency, co_occurrence_edges, owners, shared_learning_edges
-from loomgraph.session import table
+from loomgraph.session import materialize, table
 
 
 @dataclass(frozen=True)
@@ -59,7 +59,7 @@ def _by_division(g: Agency) -> DataFrame:
 
 
 def cross_division_initiatives(g: Agency, p: dict) -> DataFrame:
-    about = _docs(g, "ABOUT", "initiative_id").join(_by_division(g), "doc_id")
+    about = materialize(_docs(g, "ABOUT", "initiative_id").join(_by_division(g), "doc_id"), "about")  # read four times below
     per = about.groupBy("initiative_id").agg(F.count_distinct("doc_id").alias("doc_count"))
     own = g.out("OWNED_BY").select(F.col("src").alias("initiative_id"), F.col("dst").alias("division"))
     div = about.select("initiative_id", "division").unionByName(own).distinct().join(_names(g, "Division", "division", "name"), "division").filter("trim(name) <> ''")
@@ -71,10 +71,10 @@ def cross_division_initiatives(g: Agency, p: dict) -> DataFrame:
 
 def shared_learnings(g: Agency, p: dict) -> DataFrame:
     """Learnings are reduced per division before divisions meet; documents come from a table of a few a division and learning."""
-    cap = _docs(g, "CAPTURES", "learning").join(_by_division(g), "doc_id")
+    cap = materialize(_docs(g, "CAPTURES", "learning").join(_by_division(g), "doc_id"), "captures")
     pair = shared_learning_edges(g).withColumnRenamed("count", "shared_learnings")
     per = cap.select("division", "learning").distinct()
-    both = per.select(F.col("division").alias("src"), "learning").join(per.select(F.col("division").alias("dst"), "learning"), "learning").filter("src < dst")
+    both = materialize(per.select(F.col("division").alias("src"), "learning").join(per.select(F.col("division").alias("dst"), "learning"), "learning").filter("src < dst"), "both")
     texts = both.join(g.nodes["Learning"].select(F.col("id").alias("learning"), F.col("name").alias("text")), "learning")
     sample = least(texts, ["src", "dst"], "text", 5, "sample_learnings")
     few = least(cap, ["division", "learning"], "doc_id", 5, "docs").select("division", "learning", F.explode("docs").alias("doc_id"))
@@ -112,7 +112,7 @@ def recurring_issues(g: Agency, p: dict) -> DataFrame:
     """Documents reach an issue by a learning or by an initiative; the two ways are joined as rows, not multiplied."""
     to = lambda kind, label: _docs(g, kind, "via").join(g.out("ADDRESSES").join(g.nodes[label].select(F.col("id").alias("src")), "src", "left_semi").select(F.col("src").alias("via"), F.col("dst").alias("issue_id")), "via").select("issue_id", "doc_id")
     pairs = to("CAPTURES", "Learning").unionByName(to("ABOUT", "Initiative")).distinct()
-    d = pairs.join(g.nodes["Document"].select(F.col("id").alias("doc_id"), year_of("date").alias("year")), "doc_id").join(_names(g, "Issue", "issue_id", "issue"), "issue_id")
+    d = materialize(pairs.join(g.nodes["Document"].select(F.col("id").alias("doc_id"), year_of("date").alias("year")), "doc_id").join(_names(g, "Issue", "issue_id", "issue"), "issue_id").select("year", "issue", "doc_id"), "issues")
     out = d.groupBy("year", "issue").agg(F.count("*").alias("doc_count")).join(least(d, ["year", "issue"], "doc_id", 10, "doc_ids"), ["year", "issue"])
     return out.select("year", "issue", "doc_count", "doc_ids").orderBy("year", F.desc("doc_count"), "issue").limit(p["limit"])
 
