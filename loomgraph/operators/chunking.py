@@ -51,20 +51,20 @@ def _fold(parts: Column, least: int) -> Column:
 def merge_short(chunks: DataFrame, least: int = MIN_CHUNK) -> DataFrame:
     """Chunks of a document in order, short text neighbours joined by a blank line; numbered from 0.
 
-    A merged chunk keeps the page and heading of its first part. Tables end a run.
+    A merged chunk keeps the file name, page and heading of its first part. Tables end a run.
     """
     # a table ends every run, so what lies between two tables is folded on its own
     table = (F.col("content_type") == "table").cast("int")
     sofar = F.sum(table).over(Window.partitionBy("doc_id").orderBy("seq", "part").rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    part = F.struct("seq", "part", "page_num", "section_heading", "content_type", "text", "raw_table")
-    docs = chunks.withColumn("stretch", sofar * 2 - table).groupBy("doc_id", "filename", "stretch").agg(F.sort_array(F.collect_list(part)).alias("cs"))
+    part = F.struct("seq", "part", "filename", "page_num", "section_heading", "content_type", "text", "raw_table")
+    docs = chunks.withColumn("stretch", sofar * 2 - table).groupBy("doc_id", "stretch").agg(F.sort_array(F.collect_list(part)).alias("cs"))
     sized = F.transform("cs", lambda c, i: F.struct((i + 1).alias("i"), F.coalesce(F.length(c["text"]), F.lit(0)).alias("n"), (c["content_type"] == "table").alias("table")))
-    runs = docs.select("doc_id", "filename", "stretch", "cs", F.posexplode(_fold(sized, least)).alias("i", "r"))
+    runs = docs.select("doc_id", "stretch", "cs", F.posexplode(_fold(sized, least)).alias("i", "r"))
     runs = runs.withColumn("chunk_index", F.row_number().over(Window.partitionBy("doc_id").orderBy("stretch", "i")) - 1)
     own = F.slice("cs", F.col("r.a"), F.col("r.b") - F.col("r.a") + 1)
     first = own[0]
     return runs.select(
-        chunk_id("doc_id", "chunk_index").alias("chunk_id"), "chunk_index", "doc_id", "filename", first["page_num"].alias("page_num"), first["section_heading"].alias("section_heading"),
+        chunk_id("doc_id", "chunk_index").alias("chunk_id"), "chunk_index", "doc_id", first["filename"].alias("filename"), first["page_num"].alias("page_num"), first["section_heading"].alias("section_heading"),
         first["content_type"].alias("content_type"), F.array_join(F.transform(own, lambda c: c["text"]), "\n\n").alias("text"), first["raw_table"].alias("raw_table"),
     )
 

@@ -288,6 +288,18 @@ _ORPH = (
   tc as (select chunk_id, count(distinct triple_id) n from t group by 1), tx as (select chunk_id, max(text) text from chunks group by 1),
   of as (select oc.chunk_id, oc.doc_id, oc.filename, names, coalesce(tc.n, 0) original_triple_count, coalesce(tx.text, '') text from oc left join tc using (chunk_id) left join tx using (chunk_id)) """
 )
+_MARKED = r"string_split(regexp_replace(text, '(?m)^(#{1,6})\s+(.+)', chr(1) || '\2' || chr(2), 'g'), chr(1))"
+_BODY = _STRIP.replace("(x,", "(case when sn = 1 then x else substr(x, strpos(x, chr(2)) + 1) end,")
+_PARTS = f"""c as (select distinct chunk_id, chunk_index, doc_id, filename, page_num, content_type, text, raw_table from chunks where doc_id is not null),
+  it as (select *, row_number() over (partition by doc_id order by page_num nulls first, case when content_type = 'table' then 1 else 0 end, chunk_index nulls first, chunk_id) seq from c),
+  se as (select doc_id, seq, page_num, content_type, {_MARKED} p from it where content_type <> 'table' and text is not null),
+  s2 as (select doc_id, seq, page_num, content_type, generate_subscripts(p, 1) sn, unnest(p) x from se),
+  s3 as (select doc_id, seq, page_num, content_type, sn, case when sn = 1 then '' else trim(split_part(x, chr(2), 1)) end heading, {_BODY} body from s2),
+  s4 as (select doc_id, seq, page_num, content_type, sn, heading, {_PARAS.replace("(text,", "(body,")} ps from s3),
+  s5 as (select doc_id, seq, page_num, content_type, sn, heading, generate_subscripts(ps, 1) pn, unnest(ps) p from s4),
+  s6 as (select *, row_number() over w - 1 part, lag(p) over w prev from s5 window w as (partition by doc_id, seq order by sn, pn)),
+  u as (select doc_id, seq, part, page_num, heading, content_type, case when prev is null then p else concat_ws(' ', nullif(array_to_string(({_SENT.format('prev')})[-2:], ' '), ''), p) end as text from s6
+    union all select doc_id, seq, 0, page_num, '', content_type, text from it where content_type = 'table')"""
 _C = "with c as (select distinct * from chunks) "
 SQL = {
     "sentences": f"select doc_id, cast(generate_subscripts(s, 1) - 1 as int) as n, unnest(s) as sentence from (select doc_id, {_SENT.format('text')} s from documents)",
@@ -295,6 +307,12 @@ SQL = {
     "sections": rf"""with c as (select distinct chunk_id, text from chunks where content_type = 'text' and text is not null), p as (select chunk_id, string_split(regexp_replace(text, '(?m)^(#{{1,6}})\s+(.+)', chr(1) || '\2' || chr(2), 'g'), chr(1)) p from c),
       e as (select chunk_id, generate_subscripts(p, 1) - 1 n, unnest(p) x from p) select chunk_id, cast(n as int) as n, case when n = 0 then '' else trim(split_part(x, chr(2), 1)) end as heading,
       length({_STRIP.replace('(x,', "(case when n = 0 then x else substr(x, strpos(x, chr(2)) + 1) end,")}) as body_length from e""",
+    "item_chunks": f"with {_PARTS} select doc_id, content_type, count(*) as cnt, cast(sum(length(text)) as bigint) as chars from u group by 1, 2",
+    "merged_chunks": f"""with recursive {_PARTS}, a as (select *, row_number() over (partition by doc_id order by seq, part) rn, coalesce(length(text), 0) n, content_type = 'table' tb from u),
+      r as (select doc_id, rn, rn as first, n, tb from a where rn = 1 union all
+        select a.doc_id, a.rn, case when not a.tb and not r.tb and r.n < 300 then r.first else a.rn end, case when not a.tb and not r.tb and r.n < 300 then r.n + 2 + a.n else a.n end, a.tb from r join a on a.doc_id = r.doc_id and a.rn = r.rn + 1),
+      g as (select doc_id, first, max(n) n_chars, row_number() over (partition by doc_id order by first) - 1 idx from r group by 1, 2)
+      select substr(md5(g.doc_id || ':' || idx), 1, 12) as chunk_id, cast(idx as int) as chunk_index, g.doc_id, page_num, heading as section_heading, content_type, cast(n_chars as int) as n_chars from g join a on a.doc_id = g.doc_id and a.rn = g.first""",
     "overlap_prefix": f"select doc_id, n, prefix from (select doc_id, cast(generate_subscripts(s, 1) - 1 as int) n, unnest(list_transform(s, lambda x, i: case when i > 1 then array_to_string(({_SENT.format('s[i - 1]')})[-2:], ' ') end)) prefix from (select doc_id, {_PARAS} s from documents)) where n > 0",
     "table_markdown": _C
     + """, r as (select chunk_id, list_transform(raw_table, lambda r: list_transform(r, lambda x: trim(coalesce(x, '')))) t from c where content_type = 'table'), w as (select chunk_id, t, len(t[1]) w from r)
