@@ -7,9 +7,10 @@ the parent index at their own time, arriving parents resolve those that wait, an
 the last parent's period opens its references again.
 
 A key may hold a third of all rows. No step collects a key into one task: periods and
-references become events, one for each key and time however many rows have both, and the number
-of parents that hold at an event is a prefix sum in three levels: over (key, day) totals, over
-the minutes of a (key, day), over the times of a (key, minute).
+references become events, and the number of parents that hold at an event is a two-level
+prefix sum, first over (key, day) totals, then over the events of one (key, day). A (key, day)
+with more than ``HOT`` references, as a bulk load makes it, is split into parts by the
+references' own keys; its parents' events go to each part.
 
 Defined results: null and blank reference values are no references; a reference without a time
 is an orphan (no parent can be shown to hold then), of period null; a parent without
@@ -47,6 +48,10 @@ PARENTS = T.StructType(
 )
 
 
+#: References of one key and day that one task takes.
+HOT = 100_000
+
+
 def norm_key(c: Column) -> Column:
     """Key compared without case and surrounding white space; blank becomes null."""
     k = F.regexp_replace(F.lower(c), r"(?U)^\s+|\s+$", "")
@@ -79,20 +84,26 @@ def _sweep(refs: DataFrame, par: DataFrame) -> DataFrame:
     """Every reference with ``open``, the number of parent periods that hold at its time."""
     k = ["target", "key"]
     par = par.distinct()
-    refs = refs.distinct()
-    ends = par.filter("deleted_at is not null")
-    change = par.select(*k, F.col("loaded_at").alias("t"), F.lit(1).alias("d")).unionByName(ends.select(*k, F.col("deleted_at").alias("t"), F.lit(-1).alias("d")))
-    asks = refs.filter("t is not null").select(*k, "t", F.lit(0).alias("d"))
-    # changes at the very time of a reference count for it, so a key and time are one row
-    ev = change.unionByName(asks).groupBy(*k, "t").agg(F.sum("d").alias("d")).withColumn("day", F.to_date("t")).withColumn("minute", F.date_trunc("minute", "t"))
-    before = lambda part, order: Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    minutes = ev.groupBy(*k, "day", "minute").agg(F.sum("d").alias("net"))
-    days = minutes.groupBy(*k, "day").agg(F.sum("net").alias("net")).select(*k, "day", F.coalesce(F.sum("net").over(before(k, "day")), F.lit(0)).alias("days"))
-    sofar = minutes.select(*k, "day", "minute", F.coalesce(F.sum("net").over(before([*k, "day"], "minute")), F.lit(0)).alias("minutes")).join(days, [*k, "day"]).select(*k, "minute", (F.col("days") + F.col("minutes")).alias("before"))
-    within = Window.partitionBy(*k, "minute").orderBy("t").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    at = ev.withColumn("within", F.sum("d").over(within)).join(sofar, [*k, "minute"]).select(*k, "t", (F.col("before") + F.col("within")).alias("open"))
-    timed = refs.filter("t is not null").join(at, [*k, "t"]).select("ref_table", "ref_field", "ref_key", *k, "t", "open")
-    return timed.unionByName(refs.filter("t is null").select("ref_table", "ref_field", "ref_key", *k, "t", F.lit(0).cast("bigint").alias("open")))
+    none = F.lit(None).cast("string")
+    blank = [none.alias("ref_table"), none.alias("ref_field"), none.alias("ref_key")]
+    starts = par.select(*k, F.col("loaded_at").alias("t"), F.lit(1).alias("d"), F.lit(False).alias("is_ref"), *blank)
+    ends = par.filter("deleted_at is not null").select(*k, F.col("deleted_at").alias("t"), F.lit(-1).alias("d"), F.lit(False).alias("is_ref"), *blank)
+    asks = refs.distinct().select(*k, "t", F.lit(0).alias("d"), F.lit(True).alias("is_ref"), "ref_table", "ref_field", "ref_key")
+    ev = starts.unionByName(ends).unionByName(asks).withColumn("day", F.to_date("t"))
+    # level 1: what is open when a day begins; a (key, day) total is one row whatever the key's size
+    w1 = Window.partitionBy(*k).orderBy(F.col("day").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    totals = ev.groupBy(*k, "day").agg(F.sum("d").alias("net"), F.count_if("is_ref").alias("asked"))
+    days = totals.select(*k, "day", F.coalesce(F.sum("net").over(w1), F.lit(0)).alias("before"))
+    # level 2: within one day of one key, or a part of it; changes at the very time come before the references
+    hot = totals.filter(F.col("asked") > HOT).select(*[F.col(c).alias(f"_{c}") for c in k], F.col("day").alias("_day"), F.ceil(F.col("asked") / HOT).cast("int").alias("parts"))
+    at = [F.col(c) == F.col(f"_{c}") for c in k] + [F.col("day").eqNullSafe(F.col("_day"))]
+    parted = ev.join(F.broadcast(hot), at, "left").drop(*[f"_{c}" for c in k], "_day")  # at most a row for HOT references
+    own = F.when(F.col("parts").isNull(), F.array(F.lit(0))).when(F.col("is_ref"), F.array(F.pmod(F.xxhash64("ref_table", "ref_field", "ref_key"), F.col("parts").cast("bigint")).cast("int"))).otherwise(F.sequence(F.lit(0), F.col("parts") - 1))
+    parted = parted.withColumn("part", F.explode(own)).drop("parts")
+    w2 = Window.partitionBy(*k, "day", "part").orderBy("t", F.col("is_ref").cast("int")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    inner = parted.withColumn("within", F.sum("d").over(w2)).filter("is_ref")
+    d = days.select(*[F.col(c).alias(f"_{c}") for c in k], F.col("day").alias("_day"), "before")
+    return inner.join(d, at, "left").select("ref_table", "ref_field", "ref_key", *k, "t", F.when(F.col("t").isNull(), F.lit(0)).otherwise(F.col("within") + F.col("before")).alias("open"))
 
 
 @dataclass

@@ -59,3 +59,13 @@ def test_empty_extra_columns_and_dirty_keys(spark):
     e = R.advance(R.OrphanState.empty(spark), spark.createDataFrame([], R.REFS), spark.createDataFrame([], R.PARENTS))
     assert e.orphans.count() == e.resolved.count() == e.reopened.count() == 0
     assert R.pending_snapshots(r, R.parents(par, "g", "ref")).collect()[0].waiting == 1
+
+
+def test_a_bulk_load_is_split_and_counts_the_same(spark, monkeypatch):
+    """One key and day with most of the references."""
+    refs = [(str(i), "a", day(3) + dt.timedelta(minutes=i % 700)) for i in range(900)] + REFS
+    par = [("a", day(3) + dt.timedelta(minutes=m), day(3) + dt.timedelta(minutes=m + 7)) for m in range(0, 700, 20)] + PAR[2:]
+    whole = sorted((r.ref_key, r.open) for r in R._sweep(*make(spark, refs, par)).collect())
+    monkeypatch.setattr(R, "HOT", 50)
+    assert sorted((r.ref_key, r.open) for r in R._sweep(*make(spark, refs, par)).collect()) == whole
+    assert {o for _, o in whole} == {0, 1}
