@@ -34,14 +34,13 @@ from pyspark.sql.window import Window
 from loomgraph.llm.common import map_rows, spread
 from loomgraph.session import materialize
 
-TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 BLOCK_TOKENS, PERIOD, BUCKETS = 2048, 10_000, 4096
 _MIX = "doc_id {}, source string, pass int, n_tokens bigint, slot bigint, position bigint"
 _LOADED: dict = {}
 
 
-def token_counts(docs: DataFrame, doc: str = "doc_id", source: str = "source", text: str = "text", tokenizer: str = TOKENIZER) -> DataFrame:
-    """(doc_id, source, n_tokens) of each distinct document."""
+def token_counts(docs: DataFrame, tokenizer: str, doc: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
+    """(doc_id, source, n_tokens) of each distinct document; ``tokenizer`` is a vocabulary file that all executors can read."""
     kind = {f.name: f.dataType.simpleString() for f in docs.schema.fields}[doc]
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -125,13 +124,13 @@ def _targets(targets: DataFrame) -> tuple[dict[str, float], dict[str, int]]:
     return {r.source: max(0.0, r.w or 0.0) for r in rows}, {r.source: 1 if r.r is None else r.r for r in rows}
 
 
-def mix(docs: DataFrame, targets: DataFrame, total_tokens: int | None = None, block_tokens: int = BLOCK_TOKENS, period: int = PERIOD, buckets: int = BUCKETS, tokenizer: str = TOKENIZER, doc: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
+def mix(docs: DataFrame, targets: DataFrame, tokenizer: str, total_tokens: int | None = None, block_tokens: int = BLOCK_TOKENS, period: int = PERIOD, buckets: int = BUCKETS, doc: str = "doc_id", source: str = "source", text: str = "text") -> DataFrame:
     """The mixture: (doc_id, source, pass, n_tokens, slot, position); its order is slot, source, position."""
     spark = docs.sparkSession
     shares, caps = _targets(targets)
     kind = {f.name: f.dataType.simpleString() for f in docs.schema.fields}[doc]
     named = docs.filter(F.col(source).isin(sorted(shares))) if shares else docs.limit(0)
-    counts = materialize(token_counts(named, doc, source, text, tokenizer).filter("n_tokens > 0"), "tokens")
+    counts = materialize(token_counts(named, tokenizer, doc, source, text).filter("n_tokens > 0"), "tokens")
     totals = {r.source: r.n for r in counts.groupBy("source").agg(F.sum("n_tokens").alias("n")).collect()}
     need = {s: n for s, n in plan(totals, shares, caps, total_tokens).items() if n > 0}
     if not need:

@@ -8,8 +8,12 @@ from loomgraph.llm import mixing
 from loomgraph.session import table
 
 
+#: Vocabulary of a public tokenizer; another file is named by the setting ``loomgraph.tokenizer``.
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
+
+
 def p9_mix(spark: SparkSession, d: str) -> DataFrame:
-    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))
+    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"), spark.conf.get("loomgraph.tokenizer", TOKENIZER))
 
 
 def p9_shares(spark: SparkSession, d: str) -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 
 from loomgraph.llm import mixing as M
+from loomgraph.llm.queries_f import TOKENIZER
 
 
 def test_schedule_stays_within_one_block():
@@ -36,7 +37,7 @@ def docs(spark):
 def test_mix(spark):
     rows, d = docs(spark)
     t = spark.createDataFrame([("big", 0.5, 1), ("mid", 0.3, 2), ("tiny", 0.15, 4), ("absent", 0.05, 3)], "source string, target_share double, max_repeats int")
-    out = M.mix(d, t, block_tokens=64, period=200)
+    out = M.mix(d, t, TOKENIZER, block_tokens=64, period=200)
     got = out.collect()
     assert len({(r.doc_id, r["pass"]) for r in got}) == len(got)
     source = {r[0]: r[2] for r in rows}
@@ -47,13 +48,13 @@ def test_mix(spark):
     assert shares["absent"].share == 0.0 and shares["absent"].tokens == 0
     for s, w in (("big", 0.5), ("mid", 0.3), ("tiny", 0.15)):
         assert abs(shares[s].share - w / 0.95) < 0.03
-    assert {tuple(r) for r in got} == {tuple(r) for r in M.mix(d, t, block_tokens=64, period=200).collect()}
+    assert {tuple(r) for r in got} == {tuple(r) for r in M.mix(d, t, TOKENIZER, block_tokens=64, period=200).collect()}
 
 
 def test_empty(spark):
     _, d = docs(spark)
     none = spark.createDataFrame([], "source string, target_share double, max_repeats int")
-    assert M.mix(d, none).count() == 0
+    assert M.mix(d, none, TOKENIZER).count() == 0
     t = spark.createDataFrame([("big", None, None), (None, 0.5, 1)], "source string, target_share double, max_repeats int")
-    out = M.mix(d, t)
+    out = M.mix(d, t, TOKENIZER)
     assert out.count() == 0 and M.actual_shares(out, t).collect()[0].share == 0.0
