@@ -86,7 +86,7 @@ _PART_BEFORE = re.compile(r"(?i)(?:section|table|figure|page|in|during|since|art
 _TOWN_AFTER = re.compile(r" #\d+-\d+|,?\s+(?:\d{4,6}\s+)?[A-ZÀ-Þ][\w-]+(?:\s+\d{4,6})?")
 _FIELD_BEFORE = re.compile(r"(?i)(?:(?<!\w)(?:applicant|contact(?:o| person)?|name|attn|attention|author|signed|tenant|owner|patient|client|customer|employee|witness|complainant|from|ansprechperson|ansprechpartner(?:in)?|interlocuteur|nombre|nom)\s*:\s*|(?:yours (?:faithfully|sincerely|truly)|(?:kind |best )?regards|atentamente|cordialement|mit freundlichen grüßen),?\s*\n\s*)$")
 _CONTACT_AFTER = re.compile(r"[\s,;|(<:]*(?:(?:tel|phone|e-?mail|mobile)\b[ .:]*)?[<(]?(?:[\w.+%-]+(?:@| ?[\[(](?:at|AT)[\])])|\+ ?\d[\d -]{5}|\(\d{2,4}\) ?\d{3}|0\d{2,4}[ .-]\d{3}|\d{3}[ .-]\d{4})")
-_PAPER_AFTER = re.compile(r"(?i), ?(?:passport|driving licen|identity|national id|resident|tax file|id card|social security)|,? (?:of|at) (?:(?:flat|unit|apt|blk|block)\b|\d{1,4}[a-z]? [A-ZÀ-Þ])")
+_PAPER_AFTER = re.compile(r", ?(?i:passport|driving licen|identity|national id|resident|tax file|id card|social security)|,? (?:of|at) (?:(?i:flat|unit|apt|blk|block)\b|\d{1,4}[a-z]? [A-ZÀ-Þ][a-zà-ÿ])")
 #: Words that begin or fill sentences and dates; a reading of a run that has one is no name.
 _FUNCTION = frozenset(
     "the this that these those under over after before with within for from since during across against ahead by in on at as where when while if of and or but please dear yours according our your we you they it its there all both each no not a an to into per tel telephone email mail phone fax page "
@@ -116,6 +116,12 @@ def _token(t: str) -> str:
     return "0" if t.isdigit() else t if not t[0].isalpha() else "C" + t.lower() if t[0].isupper() else t
 
 
+def _among_capitals(text: str, s: int, e: int) -> bool:
+    """Most letters around are capitals, so capitals say nothing."""
+    letters = [c for c in text[max(0, s - REACH // 2) : s] + text[e : e + REACH // 2] if c.isalpha()]
+    return len(letters) > 7 and sum(map(str.isupper, letters)) > 0.6 * len(letters)
+
+
 def _features(text: str, s: int, e: int, kind: str) -> bytes:
     """Slots of the two words before, the two behind, and of the shape: ``WIDTH`` numbers of two bytes."""
     pre = [_token(x) for x in _AROUND.findall(text[max(0, s - REACH) : s])[-2:]]
@@ -124,6 +130,8 @@ def _features(text: str, s: int, e: int, kind: str) -> bytes:
     span = text[s:e]
     shape = re.sub(r"[^\W\d_]*[^\W\d_A-ZÀ-Þ][^\W\d_]*", lambda m: "Xx" if m[0][0].isupper() else "x", span)
     shape = re.sub(r"\d+", lambda m: "9" if kind == "person" else f"9{min(len(m[0]), 5)}", re.sub(r"[A-ZÀ-Þ]{2,}", "XX", shape))
+    if kind == "person" and span.isupper() and _among_capitals(text, s, e):
+        shape = "!" + shape
     out = [f"p:{pre[1]}", f"pp:{pre[0]} {pre[1]}", f"n:{post[0]}", f"nn:{post[0]} {post[1]}", f"b:{pre[1]}|{post[0]}", f"s:{shape[:40]}", f"l:{min(len(span) // 5, 8)}"]
     return np.fromiter((_slot(f) for f in out), "<u2", WIDTH).tobytes()
 
@@ -193,10 +201,7 @@ def _person_votes(t: str, s: int, e: int, title: bool, run_start: int, locals_:
         return "000000-0", []
     long_ = [w for w in low if len(w) > 2]
     pre, post = _before(t, run_start), t[e : e + REACH]
-    shout = False
-    if name.isupper():  # capitals among capitals say nothing
-        letters = [c for c in t[max(0, s - REACH // 2) : s] + t[e : e + REACH // 2] if c.isalpha()]
-        shout = len(letters) > 7 and sum(map(str.isupper, letters)) > 0.6 * len(letters)
+    shout = name.isupper() and _among_capitals(t, s, e)
     bad = body or any(w in _FUNCTION for w in low if len(w) > 1)
     votes = (
         1 if title else 0,
