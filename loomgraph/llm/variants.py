@@ -4,7 +4,7 @@ Names (and aliases, which are spellings too) are parsed into token sets: titles,
 case, accents, order and middle initials drop out, nicknames are written in full. Nicknames are
 those of a caller's table (common English ones by default) and those that the corpus shows: one
 given name beside another under the same family name, stated by aliases or met in several
-families. What is left equal is one node. Nodes meet in blocks keyed by the phonetic codes of their sorted tokens, each
+families, more than chance brings them together. No family is too large to count. What is left equal is one node. Nodes meet in blocks keyed by the phonetic codes of their sorted tokens, each
 code also with any one sign left out, so a single typing error cannot part two spellings. Pairs
 of a block are compared token by token: Jaro-Winkler as high as one replaced letter leaves it at
 that length, or one token an abbreviation of the other; two words that many bodies share are
@@ -27,7 +27,7 @@ from collections.abc import Mapping
 from itertools import combinations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomgraph.llm.common import map_rows
@@ -44,8 +44,10 @@ COMMON_NICKNAMES = {
     "nick": "nicholas", "peggy": "margaret", "pete": "peter", "phil": "philip", "rick": "richard", "rob": "robert", "ron": "ronald", "steve": "stephen", "sue": "susan", "ted": "edward", "tim": "timothy", "tom": "thomas", "tony": "anthony", "vicky": "victoria", "vince": "vincent", "walt": "walter", "zach": "zachary",
 }
 #: A nickname is learnt from so many families that have both names, one whose aliases state it or a regular short form counting twice, from such a share of
-#: all the names it is met beside and of all its families. A family tells something if at most so many of its given names begin alike.
-NICKNAME_MIN, NICKNAME_SHARE, NICKNAME_FAMILIES, ALIKE = 2, 0.5, 0.25, 6
+#: all the names it is met beside and of all its families.
+NICKNAME_MIN, NICKNAME_SHARE, NICKNAME_FAMILIES = 2, 0.5, 0.25
+#: Of a name's two words one is no family if it is written as such less often than the other by so many standard errors.
+ROLE_ERRORS = 2
 #: A word in so many names of bodies, and in such a share of those that the commonest is in, is a word of the language; a token in so many names of persons is a given name.
 COMMON_MIN, COMMON_SHARE = 4, 0.02
 BROADCAST_ROWS = 300_000
@@ -116,7 +118,7 @@ def least(a: str, b: str, letters: int = 1) -> float:
 
 # ---- parsing ----------------------------------------------------------------------------------
 def parse_person(name: str, nicknames: Mapping[str, str] = COMMON_NICKNAMES) -> dict | None:
-    """tokens (sorted, nicknames in full), or an initial with one token: short."""
+    """tokens (sorted, nicknames in full) with ``family``, the one written last or before a comma; or an initial with one token: short."""
     text = re.sub(r"['’`]", "", fold(name).lower())
     words = re.findall(r"[^\W\d_]+", text)
     while words and words[0] in TITLES:
@@ -127,7 +129,9 @@ def parse_person(name: str, nicknames: Mapping[str, str] = COMMON_NICKNAMES) ->
         return None
     if len(full) == 1:
         return {"short": True, "tokens": full, "initial": initials[0] if initials else ""}
-    return {"short": False, "tokens": sorted(nicknames.get(w, w) for w in full), "initial": ""}
+    head = [w for w in re.findall(r"[^\W\d_]+", text.split(",")[0]) if len(w) > 1 and w in full]
+    last = (head or full)[-1]
+    return {"short": False, "tokens": sorted(nicknames.get(w, w) for w in full), "initial": "", "family": nicknames.get(last, last)}
 
 
 def parse_org(name: str) -> dict | None:
@@ -231,7 +235,7 @@ def same(kind: str, a: list[str], b: list[str], acr_a: str = "", acr_b: str = ""
 
 
 # ---- plan -------------------------------------------------------------------------------------
-_FORM = "kind string, form string, short boolean, tokens array<string>, initial string, acronym string"
+_FORM = "kind string, form string, short boolean, tokens array<string>, initial string, acronym string, family string"
 
 
 def _parsed(forms: DataFrame, nicknames: Mapping[str, str]) -> DataFrame:
@@ -239,8 +243,8 @@ def _parsed(forms: DataFrame, nicknames: Mapping[str, str]) -> DataFrame:
         out = []
         for kind, form in zip(pdf["kind"], pdf["form"], strict=True):
             if p := parse(kind, form, nicknames):
-                out.append((kind, form, p["short"], p["tokens"], p["initial"], p.get("acronym", "")))
-        return pd.DataFrame(out, columns=["kind", "form", "short", "tokens", "initial", "acronym"])
+                out.append((kind, form, p["short"], p["tokens"], p["initial"], p.get("acronym", ""), p.get("family", "")))
+        return pd.DataFrame(out, columns=["kind", "form", "short", "tokens", "initial", "acronym", "family"])
 
     return map_rows(forms, fn, _FORM)
 
@@ -263,17 +267,32 @@ def _guessed(untyped: DataFrame, shared: DataFrame) -> DataFrame:
     return own.unionByName(met).groupBy("form", "kind").agg(F.sum("n").alias("n")).groupBy("form").agg(F.max_by("kind", F.struct("n", "kind")).alias("kind")).select("kind", "form")
 
 
+def _families(people: DataFrame) -> DataFrame:
+    """(family, x): names of two words by the word that is the family; both ways where the order in which their words are written elsewhere does not tell."""
+    two = people.filter("size(tokens) = 2").select("tokens", "family").distinct()
+    word = two.select("family", F.explode("tokens").alias("x")).groupBy("x").agg(F.count("*").alias("n"), F.count_if(F.col("x") == F.col("family")).alias("k"))
+    role = (F.col("k") + 1) / (F.col("n") + 2)
+    word = word.select("x", role.alias("role"), (role * (1 - role) / (F.col("n") + 2)).alias("error"))
+    side = lambda s: word.select(F.col("x").alias(s), F.col("role").alias(f"r{s}"), F.col("error").alias(f"e{s}"))
+    both = two.select(F.get("tokens", F.lit(0)).alias("a"), F.get("tokens", F.lit(1)).alias("b")).distinct().join(side("a"), "a").join(side("b"), "b")
+    both = both.withColumn("margin", ROLE_ERRORS * F.sqrt(F.col("ea") + F.col("eb")))
+    one = both.filter("ra >= rb - margin").select(F.col("a").alias("family"), F.col("b").alias("x"))
+    return one.unionByName(both.filter("rb >= ra - margin").select(F.col("b").alias("family"), F.col("a").alias("x"))).distinct()
+
+
+def _beyond_chance(f: Column, expected: Column, names: Column) -> Column:
+    """So many families are more than chance lets the likeliest of so many names have (Chernoff's bound of a Poisson count); none expected, any is."""
+    return (expected <= 0) | ((f > expected) & (f * (F.log(f) - F.log(expected)) - f + expected > F.log(names)))
+
+
 def _learnt(named: DataFrame, forms: DataFrame) -> DataFrame:
     """(token, full): nicknames, by families that have both, whether aliases state it or the names begin alike."""
-    people = forms.filter("kind = 'person' and not short").select("form", "tokens")
-    j = named.filter("kind = 'person'").select("form", "other").join(people, "form").join(people.select(F.col("form").alias("other"), F.col("tokens").alias("theirs")), "other")
+    people = forms.filter("kind = 'person' and not short").select("form", "tokens", "family")
+    j = named.filter("kind = 'person'").select("form", "other").join(people.drop("family"), "form").join(people.select(F.col("form").alias("other"), F.col("tokens").alias("theirs")), "other")
     x, y, both = F.array_except("tokens", "theirs"), F.array_except("theirs", "tokens"), F.array_intersect("tokens", "theirs")
     stated = j.select(x.alias("x"), y.alias("y"), both.alias("both")).filter("size(x) = 1 and size(y) = 1 and size(both) >= 1").select(F.get("x", F.lit(0)).alias("x"), F.get("y", F.lit(0)).alias("y"), F.get("both", F.lit(0)).alias("family"), F.lit(2).alias("n"))
-    # either word of a name may be the family; a given name has too many families to count as one
-    own = people.filter("size(tokens) = 2").select(F.explode(F.array(F.struct(F.get("tokens", F.lit(0)).alias("family"), F.get("tokens", F.lit(1)).alias("x")), F.struct(F.get("tokens", F.lit(1)).alias("family"), F.get("tokens", F.lit(0)).alias("x")))).alias("p")).select("p.*").distinct()
-    few = own.groupBy("family", F.substring("x", 1, 1).alias("letter")).agg(F.count("*").alias("size")).filter(F.col("size").between(2, ALIKE))
-    few = own.withColumn("letter", F.substring("x", 1, 1)).join(few, ["family", "letter"]).select("family", "letter", "x")
-    met = few.join(few.withColumnRenamed("x", "y"), ["family", "letter"]).filter("x <> y").select("x", "y", "family", F.lit(1).alias("n"))
+    own = materialize(_families(people).withColumn("letter", F.substring("x", 1, 1)), "families")
+    met = own.join(own.withColumnRenamed("x", "y"), ["family", "letter"]).filter("length(x) + 1 < length(y)").select("x", "y", "family", F.lit(1).alias("n"))
     # the shorter is the nickname; what may be a typing error is none
     p = stated.unionByName(met).filter("length(x) <> length(y) and levenshtein(x, y) > 1")
     shorter = F.length("x") < F.length("y")
@@ -281,13 +300,19 @@ def _learnt(named: DataFrame, forms: DataFrame) -> DataFrame:
     # a start of the name, with or without a doubled consonant or an ending of pet names, is a regular short form
     stem = F.regexp_replace(F.regexp_replace("token", r"(?<=..)(?:ie|[aeiouy])$", ""), r"(?<=..)([^aeiou])\1$", "$1")
     regular = F.col("full").startswith(F.col("token")) | (F.length(stem) > 2) & F.col("full").startswith(stem)
-    p = p.withColumn("n", F.when(regular, F.lit(2)).otherwise(F.col("n"))).filter("length(token) < 7 and length(full) > length(token) + 1").groupBy("token", "full", "family").agg(F.max("n").alias("n"))
-    families = own.groupBy("x").agg(F.count("*").alias("families"))
-    # of an irregular one that no alias states the full name must be a given name by its families
+    p = p.withColumn("n", F.when(regular, F.lit(2)).otherwise(F.col("n"))).filter("length(full) > length(token) + 1").groupBy("token", "full", "family").agg(F.max("n").alias("n"))
+    # families of a name, other names alike that it meets there, and all alike in them
+    alike = own.groupBy("family", "letter").agg(F.count("*").alias("size"))
+    families = materialize(own.join(alike, ["family", "letter"]).groupBy("x", "letter").agg(F.count("*").alias("families"), F.sum(F.col("size") - 1).alias("others"), F.sum("size").alias("there")), "given")
+    letters = families.groupBy("letter").agg(F.sum("families").alias("total"), F.count("*").alias("names"))
+    # of an irregular one that no alias states the full name must be a given name by its families, and be met more often than families without the nickname let expect
     n = p.groupBy("token", "full").agg(F.sum("n").alias("n"), F.count("*").alias("f"), F.max("n").alias("best"))
-    n = n.join(families.select(F.col("x").alias("full"), F.col("families").alias("wide")), "full", "left").filter("best > 1 or wide > 2")
+    n = n.join(families.select(F.col("x").alias("full"), F.col("families").alias("wide")), "full", "left")
+    n = n.join(families.join(letters, "letter").select(F.col("x").alias("token"), "others", "there", "total", "names"), "token", "left")
+    expected = F.when(F.col("total") > F.col("there"), F.col("others") * (F.col("wide") - F.col("f")) / (F.col("total") - F.col("there"))).otherwise(0.0)
+    n = n.filter((F.col("best") > 1) | (F.col("wide") > 2) & _beyond_chance(F.col("f"), expected, F.col("names")))
     best = n.groupBy("token").agg(F.max_by(F.struct("full", "n", "f"), F.struct("n", "full")).alias("b"), F.sum("n").alias("all"))
-    best = best.join(families.withColumnRenamed("x", "token"), "token")
+    best = best.join(families.select(F.col("x").alias("token"), "families"), "token")
     return best.filter((F.col("b.n") >= NICKNAME_MIN) & (F.col("b.n") >= F.col("all") * NICKNAME_SHARE) & (F.col("b.f") >= F.col("families") * NICKNAME_FAMILIES)).select("token", "b.full")
 
 

@@ -83,6 +83,24 @@ def test_nicknames_are_learnt_from_the_corpus(spark):
     assert got == want
 
 
+def test_large_families_teach_nicknames_and_chance_does_not(spark):
+    """Families with more given names alike than any bound: an irregular nickname in three, regular ones in one; a given name beside families alike; popular names."""
+    p = "Person"
+    given = ["Hanno", "Helmine", "Hiltrud", "Holgerd", "Hubertus", "Hyazinth", "Haldane", "Heribert", "Horatio", "Hadewig", "Hinrike", "Holda", "Hulderic", "Hermina", "Hektor", "Hildebrand", "Hannelore", "Hrodric", "Hasso", "Henrike", "Hellmut"]
+    names = [f"{g} {f}" for i, f in enumerate(("Moser", "Tamm", "Quist")) for g in ("Hesper", "Hed", *given[i * 7 : i * 7 + 7])]
+    names += [f"{g} Lund" for g in ("Christopher", "Chris", "Charlotte", "Charlie", "Carolus", "Clemency", "Cordula", "Cyprian", "Cunegund", "Cosmina")]
+    # two families that share a popular given name; it stands before many others alike
+    names += [f"{g} {f}" for g in ("Jonas", "Marit") for f in ("Rich", "Richards", "Rasmus", "Rudnik", "Rokitan", "Rydberg", "Rehmann", "Rosander")]
+    # one name in every family, beside another in half of them
+    names += [f"{g} {f}" for i, f in enumerate(("Abendroth", "Brinkmann", "Dorfler", "Falkner", "Gutzeit", "Kaminski", "Ostrander", "Wexford")) for g in ("Leopolda", "Lia" if i % 2 else "Lugard")]
+    df = spark.createDataFrame([(i, n, p, [], "x") for i, n in enumerate(names)], SCHEMA)
+    got = {frozenset((names[r.a], names[r.b])) for r in V.linked_pairs(V.groups(df, nicknames={})).collect()}
+    want = together("Christopher Lund", "Chris Lund") | together("Charlotte Lund", "Charlie Lund")
+    for f in ("Moser", "Tamm", "Quist"):
+        want |= together(f"Hesper {f}", f"Hed {f}")
+    assert got == want
+
+
 def test_abbreviations():
     assert all(V._abbreviates(a, b) for a, b in (("dept", "department"), ("agcy", "agency"), ("inst", "institute"), ("wtr", "water"), ("env", "environment"), ("pship", "partnership")))
     assert not any(V._abbreviates(a, b) for a, b in (("water", "waste"), ("air", "fair"), ("agency", "agency"), ("a", "air")))
