@@ -1,13 +1,17 @@
 """Content items to chunks: sections, paragraphs with sentence overlap, tables whole, short neighbours merged.
 
-Everything is array expressions; the merge works on the stretches between a document's tables and folds over positions
-(``start``, ``end``) and builds each text once, so a document of many paragraphs costs no more than its length.
+Texts are cut by array expressions. The merge reads the parts of each document once, in order, and keeps only the length
+of the run it is in, so neither memory nor time depends on how many parts a document has or how far its tables lie apart.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 from pyspark.sql.window import Window
 
 from loomgraph.functions import text as T
@@ -16,6 +20,16 @@ from loomgraph.functions.ids import chunk_id
 MIN_CHUNK = 300
 
 
+def _paragraphs(body: Column) -> Column:
+    """ARRAY<STRUCT<heading, p>>: the paragraphs of a text under their headings; null for null."""
+    return F.flatten(F.transform(T.sections(body), lambda s: F.transform(T.paragraphs(s["body"]), lambda p: F.struct(s["heading"].alias("heading"), p.alias("p")))))
+
+
+def _with_tail() -> Column:
+    """ARRAY<STRUCT<h, t>> of column ps of ``_paragraphs``: each text after the first with the overlap in front."""
+    return F.transform("ps", lambda x, i: F.struct(x["heading"].alias("h"), F.when(i == 0, x["p"]).otherwise(F.concat_ws(" ", F.nullif(T.overlap_tail(F.get(F.col("ps"), i - 1)["p"]), F.lit("")), x["p"])).alias("t")))
+
+
 def item_chunks(items: DataFrame) -> DataFrame:
     """(doc_id, filename, seq, part, page_num, section_heading, content_type, text, raw_table) of content items.
 
@@ -25,27 +39,53 @@ def item_chunks(items: DataFrame) -> DataFrame:
     base = ["doc_id", "filename", "seq", "page_num", "content_type"]
     tables = items.filter("content_type = 'table'").select(*base, F.lit(0).alias("part"), F.lit("").alias("section_heading"), "text", "raw_table")
     texts = items.filter("content_type <> 'table' and text is not null")
-    per = F.flatten(F.transform(T.sections("text"), lambda s: F.transform(T.paragraphs(s["body"]), lambda p: F.struct(s["heading"].alias("heading"), p.alias("p")))))
-    para = texts.select(*base, per.alias("ps"))
-    with_tail = F.transform("ps", lambda x, i: F.struct(x["heading"].alias("h"), F.when(i == 0, x["p"]).otherwise(F.concat_ws(" ", F.nullif(T.overlap_tail(F.get(F.col("ps"), i - 1)["p"]), F.lit("")), x["p"])).alias("t")))
-    flat = para.select(*base, F.posexplode(with_tail).alias("part", "x"))
+    para = texts.select(*base, _paragraphs(F.col("text")).alias("ps"))
+    # of an exploded column, unlike an expression, Spark asks beforehand whether it is empty and so parses each text again
+    flat = para.select(*base, F.posexplode(_with_tail()).alias("part", "x"))
     out = flat.select(*base, "part", F.col("x.h").alias("section_heading"), F.col("x.t").alias("text"), F.lit(None).cast("array<array<string>>").alias("raw_table"))
     return out.unionByName(tables.select(*out.columns))
 
 
-def _fold(parts: Column, least: int) -> Column:
-    """Positions (from 1) of runs to be joined: a text run shorter than ``least`` takes in the next text part."""
-    state = "array<struct<a:int,b:int,n:int,table:boolean>>"
-    start = F.array().cast(state)
-
-    def step(acc: Column, x: Column) -> Column:
-        last = F.element_at(acc, -1)
-        me = F.struct(x["i"].alias("a"), x["i"].alias("b"), x["n"].alias("n"), x["table"].alias("table"))
-        grown = F.struct(last["a"].alias("a"), x["i"].alias("b"), (last["n"] + 2 + x["n"]).alias("n"), F.lit(False).alias("table"))
-        takes = (F.size(acc) > 0) & ~x["table"] & ~last["table"] & (last["n"] < least)
-        return F.when(F.size(acc) == 0, F.array(me)).when(takes, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(grown))).otherwise(F.concat(acc, F.array(me))).cast(state)
+def item_sizes(items: DataFrame) -> DataFrame:
+    """Adds parts: (section_heading, n) of the chunks that ``item_chunks`` makes of each item, in order, n being the length.
 
-    return F.aggregate(parts, start, step)
+    An item's parts depend on its own row alone, so its text need not go further than this.
+    """
+    table = F.col("content_type") == "table"
+    whole = F.array(F.struct(F.lit("").alias("h"), F.col("text").alias("t")))
+    size = lambda x: F.struct(x["h"].alias("section_heading"), F.coalesce(F.length(x["t"]), F.lit(0)).alias("n"))
+    para = items.withColumn("ps", _paragraphs(F.when(~table, F.col("text"))))
+    return para.withColumn("parts", F.transform(F.when(table, whole).otherwise(_with_tail()), size)).drop("ps")
+
+
+def _numbered(parts: DataFrame, least: int) -> DataFrame:
+    """Adds chunk_index to (doc_id, seq, part, content_type, n, ...): a text run shorter than ``least`` takes in the next text part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        doc, index, size, after_text = object(), 0, 0, False
+        for b in batches:
+            out = []
+            for d, kind, n in zip(*(b.column(c).to_pylist() for c in ("doc_id", "content_type", "n")), strict=True):
+                text = kind is not None and kind != "table"
+                if d != doc:
+                    doc, index, size = d, 0, n
+                elif text and after_text and size < least:
+                    size += 2 + n
+                else:
+                    index, size = index + 1, n
+                after_text = text
+                out.append(index)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.int32())], names=[*b.schema.names, "chunk_index"])
+
+    ordered = parts.repartition("doc_id").sortWithinPartitions("doc_id", "seq", "part")
+    return ordered.mapInArrow(run, StructType([*parts.schema.fields, StructField("chunk_index", IntegerType())]))
+
+
+def merged_sizes(parts: DataFrame, least: int = MIN_CHUNK) -> DataFrame:
+    """What ``merge_short`` gives for parts of length ``n``, with n_chars in place of the text."""
+    first = F.min_by(F.struct("page_num", "section_heading", "content_type"), F.struct("seq", "part")).alias("first")
+    runs = _numbered(parts, least).groupBy("doc_id", "chunk_index").agg(first, (F.sum("n") + (F.count("*") - 1) * 2).cast("int").alias("n_chars"))
+    return runs.select(chunk_id("doc_id", "chunk_index").alias("chunk_id"), "chunk_index", "doc_id", "first.*", "n_chars")
 
 
 def merge_short(chunks: DataFrame, least: int = MIN_CHUNK) -> DataFrame:
@@ -53,19 +93,14 @@ def merge_short(chunks: DataFrame, least: int = MIN_CHUNK) -> DataFrame:
 
     A merged chunk keeps the file name, page and heading of its first part. Tables end a run.
     """
-    # a table ends every run, so what lies between two tables is folded on its own
-    table = (F.col("content_type") == "table").cast("int")
-    sofar = F.sum(table).over(Window.partitionBy("doc_id").orderBy("seq", "part").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     part = F.struct("seq", "part", "filename", "page_num", "section_heading", "content_type", "text", "raw_table")
-    docs = chunks.withColumn("stretch", sofar * 2 - table).groupBy("doc_id", "stretch").agg(F.sort_array(F.collect_list(part)).alias("cs"))
-    sized = F.transform("cs", lambda c, i: F.struct((i + 1).alias("i"), F.coalesce(F.length(c["text"]), F.lit(0)).alias("n"), (c["content_type"] == "table").alias("table")))
-    runs = docs.select("doc_id", "stretch", "cs", F.posexplode(_fold(sized, least)).alias("i", "r"))
-    runs = runs.withColumn("chunk_index", F.row_number().over(Window.partitionBy("doc_id").orderBy("stretch", "i")) - 1)
-    own = F.slice("cs", F.col("r.a"), F.col("r.b") - F.col("r.a") + 1)
-    first = own[0]
+    sized = chunks.withColumn("n", F.coalesce(F.length("text"), F.lit(0)))
+    # every part adds two characters at least, so a run has few parts
+    runs = _numbered(sized, least).groupBy("doc_id", "chunk_index").agg(F.sort_array(F.collect_list(part)).alias("cs"))
+    first = F.col("cs")[0]
     return runs.select(
         chunk_id("doc_id", "chunk_index").alias("chunk_id"), "chunk_index", "doc_id", first["filename"].alias("filename"), first["page_num"].alias("page_num"), first["section_heading"].alias("section_heading"),
-        first["content_type"].alias("content_type"), F.array_join(F.transform(own, lambda c: c["text"]), "\n\n").alias("text"), first["raw_table"].alias("raw_table"),
+        first["content_type"].alias("content_type"), F.array_join(F.transform("cs", lambda c: c["text"]), "\n\n").alias("text"), first["raw_table"].alias("raw_table"),
     )
 
 

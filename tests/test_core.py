@@ -1,6 +1,7 @@
 """Hand-computed cases of the core operators."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,6 +78,71 @@ def test_short_chunks_merge_until_a_table(spark):
     assert ids == list(range(len(got)))
 
 
+def test_chunks_of_several_documents_merge_across_batches(spark):
+    r = random.Random(5)
+    docs = {f"d{k}": [("table", "|t|") if r.random() < 0.1 else ("text", "x" * r.choice([1, 2, 120, 297, 298, 299, 300, 301])) for _ in range(60)] for k in range(5)}
+    flat = [(d, "f", i + 1, 1, k, t, None) for d, parts in docs.items() for i, (k, t) in enumerate(parts)]
+    df = spark.createDataFrame(r.sample(flat, len(flat)), "doc_id string, filename string, seq int, page_num int, content_type string, text string, raw_table array<array<string>>")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = K.chunk_items(df).orderBy("doc_id", "chunk_index").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert [(r.doc_id, r.chunk_index, r.content_type, r.text) for r in got] == [(d, i, k, t) for d, parts in docs.items() for i, (k, t) in enumerate(merge_by_hand(parts))]
+
+
+CHUNKS = "chunk_id string, chunk_index int, doc_id string, filename string, page_num int, section_heading string, content_type string, text string, raw_table array<array<string>>, loaded_at string"
+
+
+def held(spark, run):
+    """Most bytes that a stage of ``run`` holds or spills, and what it returns."""
+    sc, gateway = spark.sparkContext._jsc.sc(), spark.sparkContext._gateway
+
+    def stages():
+        sc.listenerBus().waitUntilEmpty()
+        every = sc.statusStore().stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), gateway.jvm.java.util.ArrayList())
+        return {x.stageId(): x.peakExecutionMemory() + x.memoryBytesSpilled() for x in (every.apply(i) for i in range(every.size()))}
+
+    before, out = stages(), run()
+    return max(n for k, n in stages().items() if k not in before), out
+
+
+def test_merged_chunks_without_a_table_between_them(spark, tmp_path):
+    """One page of many texts and no table: what a stage holds follows the texts, not their number times their length."""
+    r = random.Random(3)
+    texts = ["".join(r.choices("abcdefghij ", k=r.choice([200, 700]))).strip() + "." for _ in range(2000)]
+    spark.createDataFrame([(f"c{i}", i, "d", "f", 1, "", "text", t, None, "") for i, t in enumerate(texts)], CHUNKS).write.parquet(f"{tmp_path}/chunks.parquet")
+    most, got = held(spark, lambda: Q.merged_chunks(spark, str(tmp_path)).orderBy("chunk_index").collect())
+    assert [r.n_chars for r in got] == [len(t) for _, t in merge_by_hand([("text", t) for t in texts])]
+    assert most < 1 << 29
+
+
+def test_merged_chunks_of_odd_rows_as_in_sql(spark, tmp_path):
+    from tools.compare import differs, duck
+
+    short, long = "Alpha beta. Gamma delta.", "Long words here. " * 30
+    rows = [
+        ("c1", 0, "d", "f", 1, "", "text", short, None, "1"),
+        ("c1", 0, "d", "f", 1, "", "text", short, None, "2"),  # a second delivery
+        ("c2", 1, "d", "f", 1, "", "text", f"{short}\n\n{short}\n# Head\nbody", None, "1"),
+        ("c3", 2, "d", "f", 1, "", "table", None, [["a", "b"]], "1"),
+        ("c3", 2, "d", "f", 1, "", "table", None, [["a"], ["b"]], "1"),  # another table under the same id
+        ("c3", 2, "d", "f", 1, "", "table", "", [["a"], ["b", None]], "1"),
+        ("c4", 3, "d", "f", None, "", "text", long, None, "1"),
+        ("c5", 4, "d", "f", None, "", "text", None, None, "1"),
+        ("c6", 5, "d", "f", None, "", "text", "", None, "1"),
+        ("c7", 6, "d", "f", None, "", "text", "# Only a heading\n", None, "1"),
+        ("c8", 7, "d", "f", None, "", None, short, None, "1"),
+        ("c9", None, "d", "f", 2, "", "figure", short, None, "1"),
+        (None, 9, "e", "g", 1, "", "text", "# No id\n" + long, None, "1"),
+        ("ca", 9, "e", "g", 1, "", "text", "# An id\nfew words", None, "1"),
+        ("cb", 0, "e", "g", 1, "", "text", f"{long}\n\ntail", None, "1"),
+        ("cc", 0, None, "g", 1, "", "text", short, None, "1"),
+    ]
+    spark.createDataFrame(rows, CHUNKS).write.parquet(f"{tmp_path}/chunks.parquet")
+    assert differs(spark, duck(str(tmp_path)), str(tmp_path), "merged_chunks") == ""
+
+
 def test_overlap_is_by_item(spark):
     x = K.item_chunks(items(spark, [("text", "A. B. C.\n\nD."), ("text", "E.\n\nF."), ("text", "# Empty\n"), ("text", None)]))
     assert [r.text for r in x.orderBy("seq", "part").collect()] == ["A. B. C.", "B. C. D.", "E.", "E. F."]
